@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import grouping, lookalikes
+from . import grouping, lookalikes, scans
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -19,7 +19,17 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return grouping.merge_groups(table(spark, folder, "merge_decisions"))
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found}
+def _records(df: DataFrame, key: str, *fields: str) -> DataFrame:
+    """(field, id, text), one row for each text of a record."""
+    return df.select(F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(key).alias("id"), F.col(f).alias("text")) for f in fields])).alias("r")).select("r.*")
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    questions = _records(table(spark, folder, "questions"), "question_id", "question_body", "solution_body")
+    return scans.scan_noise(questions.union(_records(table(spark, folder, "source_assets"), "asset_id", "content")))
+
+
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found}
 
 SQL = {
     "p3_found": """
