@@ -34,9 +34,9 @@ down as (
   union all
   select p.key, d.root_key, d.depth + 1, list_append(d.path, p.key) from p join down d on p.parent = d.node_key),
 lost as (select key, parent from p where key not in (select node_key from down)),
-up as (select key, parent as at from lost union select u.key, l.parent from up u join lost l on u.at = l.key),
-ring as (select key from up where key = at),
-circle as (select u.key, min(u.at) as root_key from up u where u.at in (select key from ring) group by u.key)
+up as (select key, parent as above from lost union select u.key, l.parent from up u join lost l on u.above = l.key),
+ring as (select key from up where key = above),
+circle as (select u.key, min(u.above) as root_key from up u where u.above in (select key from ring) group by u.key)
 """
 SQL = {
     "p2_found": _TREE + "select node_key, root_key, depth from down union all select key, root_key, -1 from circle",
