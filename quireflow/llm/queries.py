@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import grouping, lookalikes, scans
+from . import grouping, lookalikes, quality, scans
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -29,9 +29,23 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return scans.scan_noise(questions.union(_records(table(spark, folder, "source_assets"), "asset_id", "content")))
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found}
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.not_prose(table(spark, folder, "documents"))
+
+
+def p8_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    """The statistics of every document that SQL can state as well."""
+    return quality.text_statistics(table(spark, folder, "documents")).select("doc_id", "n_chars", "n_lines", F.round("digit_ratio", 6).alias("digit_ratio"))
+
+
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p8_found": p8_found, "p8_statistics": p8_statistics}
 
 SQL = {
+    "p8_statistics": r"""
+select doc_id, length(text) as n_chars,
+  (select count(*) from (select unnest(string_split(text, chr(10))) as l) where regexp_replace(l, '[ \t\n\r\x{3000}\x{a0}\x{2}]', '', 'g') <> '') as n_lines,
+  round(length(regexp_replace(text, '[^0-9０-９]', '', 'g')) / greatest(1, length(regexp_replace(text, '[ \t\n\r\x{3000}\x{a0}\x{2}]', '', 'g'))), 6) as digit_ratio
+from documents where text is not null""",
     "p3_found": """
 with recursive e as (
   select distinct left_ref a, right_ref b from merge_decisions
