@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import grouping, lookalikes, quality, scans
+from . import grouping, lookalikes, pairs, quality, scans
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -29,6 +29,10 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return scans.scan_noise(questions.union(_records(table(spark, folder, "source_assets"), "asset_id", "content")))
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return pairs.pair_defects(table(spark, folder, "questions"))
+
+
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return quality.not_prose(table(spark, folder, "documents"))
 
@@ -38,7 +42,7 @@ def p8_statistics(spark: SparkSession, folder: str) -> DataFrame:
     return quality.text_statistics(table(spark, folder, "documents")).select("doc_id", "n_chars", "n_lines", F.round("digit_ratio", 6).alias("digit_ratio"))
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p8_found": p8_found, "p8_statistics": p8_statistics}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p8_found": p8_found, "p8_statistics": p8_statistics}
 
 SQL = {
     "p8_statistics": r"""
