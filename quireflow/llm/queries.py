@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import grouping, lookalikes, pairs, quality, scans
+from . import grouping, leaks, lookalikes, mixing, pairs, quality, scans
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -33,6 +33,20 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return pairs.pair_defects(table(spark, folder, "questions"))
 
 
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks.find_leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
+def p7_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """The chosen documents with their copies."""
+    return mixing.mix_sources(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))[0]
+
+
+def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """The shares that the mix reaches."""
+    return mixing.mix_sources(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))[1]
+
+
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return quality.not_prose(table(spark, folder, "documents"))
 
@@ -42,7 +56,7 @@ def p8_statistics(spark: SparkSession, folder: str) -> DataFrame:
     return quality.text_statistics(table(spark, folder, "documents")).select("doc_id", "n_chars", "n_lines", F.round("digit_ratio", 6).alias("digit_ratio"))
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p8_found": p8_found, "p8_statistics": p8_statistics}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_statistics": p8_statistics}
 
 SQL = {
     "p8_statistics": r"""
