@@ -333,7 +333,7 @@ def _wrapped(p: dict, lines: int) -> bool:
 
 
 def _flat(p: dict) -> tuple:
-    line = lambda x: [x[k] for k in LINE] + [bool(x["end"]), bool(x["full"])] if x else None
+    line = lambda x: [*(int(x[k]) for k in LINE), int(x["end"]), int(x["full"])] if x else None
     return (*(int(p[k]) for k in COUNTS + TOTALS), line(p["head"]), line(p["tail"]), *(p[k] for k in STATE))
 
 
