@@ -46,6 +46,8 @@ SEED_WORDS = {
 }
 #: Letters of evidence that a language needs, and the odds (natural logarithm) by which it must win.
 MIN_LETTERS, MIN_CJK, MARGIN = 14, 3, 6.0
+#: The same for prompts, which are of one language of few and may be short.
+PROMPT_LETTERS, PROMPT_CJK = 6, 2
 #: Orders of the end-of-text model, places that a context must have, and the share of ends below which a text is cut off.
 ORDERS, MIN_PLACES, END_SHARE = (10, 7, 5, 3, 2), 12, 0.04
 FORMULA = re.compile(r"\$[^$]*\$?|\\[a-zA-Z]+|[A-Za-z]\([^)]*\)")
@@ -117,11 +119,11 @@ class LanguageModel:
             out = self.known[word] = np.array([sum(self.weights[k].get(x, self.unseen[k]) for x in g) for k in self.languages])
         return out
 
-    def best(self, text: str) -> tuple[str | None, dict[str, float]]:
+    def best(self, text: str, letters: int = MIN_LETTERS, ideographs: int = MIN_CJK) -> tuple[str | None, dict[str, float]]:
         words = _words(text)
         joined = "".join(words)
         cjk = sum(joined.count(c) for c in "汉か한")
-        if cjk < MIN_CJK and len(joined) < MIN_LETTERS:
+        if cjk < ideographs and len(joined) < letters:
             return None, {}
         scores = dict(zip(self.languages, np.sum([self.word_scores(w) for w in words], axis=0).tolist()))
         return max(scores, key=scores.get), scores
@@ -377,7 +379,7 @@ def pair_defects(pairs: DataFrame, key: str = "question_id", prompt: str = "ques
 
 
 def _other_language(model: LanguageModel, question: str, response: str) -> bool:
-    mine, _ = model.best(question)
+    mine, _ = model.best(question, PROMPT_LETTERS, PROMPT_CJK)
     if mine is None:
         return False
     theirs, scores = model.best(response)
