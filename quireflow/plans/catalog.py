@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import audits, geometry, graph, linkage, rules, sequences, similarity, state
+from ..operators.skew import lookup_join
 from ..sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -564,3 +565,42 @@ def contained_boxes(spark, d):
 @query(_BOXES + "select min(x) as \"left\", min(y) as top, max(x + w) - min(x) as width, max(y + h) - min(y) as height, count(*) as boxes, round(stddev_pop(w) / avg(w), 6) as width_spread from b")
 def box_bounds(spark, d):
     return geometry.bounds(_boxes(spark, d), []).withColumn("width_spread", F.round("width_spread", 6))
+
+
+# ---- names and layouts ------------------------------------------------------
+
+
+@query("""
+with n as (select distinct book_key, key, title from split_nodes where title is not null and book_key is not null), c as (select book_key, title, count(*) as n from n group by all)
+select key, case when c.n = 1 then title else title || ' ' || key end as short_name from n join c using (book_key, title)""")
+def unique_short_names(spark, d):
+    """The title where it is unique in its book, else with the key; a title that very many sections share is counted before the join."""
+    n = table(spark, d, "split_nodes").select("book_key", "key", "title").filter("title is not null and book_key is not null").distinct().withColumn("at", F.struct("book_key", "title"))
+    c = n.groupBy("at").agg(F.count(F.lit(1)).alias("n"))
+    return lookup_join(n, c, "at", "key").select("key", F.when(F.col("n") == 1, F.col("title")).otherwise(F.concat_ws(" ", "title", "key")).alias("short_name"))
+
+
+@query("select book_key, lower(title) as folded, count(distinct title) as spellings, count(distinct key) as sections from split_nodes where title is not null and book_key is not null group by 1, 2 having count(distinct title) > 1")
+def name_collisions(spark, d):
+    """Titles of a book that differ in letter case alone."""
+    n = table(spark, d, "split_nodes").filter("title is not null and book_key is not null")
+    return n.groupBy("book_key", F.lower("title").alias("folded")).agg(F.count_distinct("title").alias("spellings"), F.count_distinct("key").alias("sections")).filter("spellings > 1")
+
+
+@query("select concept_key, concat_ws(chr(10), preferred_label, case when len(aliases) > 0 then array_to_string(list_sort(aliases), '; ') end, definition) as retrieval_text from (select distinct * from concepts)")
+def concept_texts(spark, d):
+    """Label, aliases and definition as one text for retrieval."""
+    c = table(spark, d, "concepts").distinct()
+    return c.select("concept_key", F.concat_ws("\n", "preferred_label", F.when(F.size("aliases") > 0, F.array_join(F.sort_array("aliases"), "; ")), "definition").alias("retrieval_text"))
+
+
+@query(
+    _BOXES
+    + """, s as (select w, x, id, case when lag(x) over v is null or x - lag(x) over v >= 60 then 1 else 0 end as new from b window v as (partition by w order by x, id))
+select w, sum(new)::bigint as bands, count(*) as boxes from s group by w"""
+)
+def column_bands(spark, d):
+    """Bands of left edges of the boxes of each width, apart by 60 or more."""
+    b = _boxes(spark, d).select("w", "x", "id")
+    bands = sequences.islands(b, ["w"], ["x", "id"], F.col("x") - F.col("_prev.x") >= 60)
+    return bands.groupBy("w").agg(F.max("island").alias("bands"), F.count(F.lit(1)).alias("boxes"))

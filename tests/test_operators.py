@@ -162,3 +162,11 @@ def test_vector_neighbours_skips_odd_vectors(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, [0.0, 1.0]), (4, [0.0, 0.0]), (5, [1.0]), (6, None)], "id int, v array<float>")
     got = [tuple(r)[:2] for r in similarity.vector_neighbours(df, df, "id", "v", 1).orderBy("query_id").collect()]
     assert got == [(1, 2), (2, 1), (3, 2)]
+
+
+def test_chains_and_reusable_stages(spark, get):
+    c = spark.createDataFrame([("a", 1, "x", "y"), ("a", 2, "y", "z"), ("a", 3, "w", "v"), ("b", 1, None, "q"), ("b", 2, "q", None), ("b", 3, None, "r")], "k string, n int, before string, after string")
+    assert get(state.chain_breaks(c, ["k"], ["n"], "before", "after")) == [("a", 3)]
+    s = spark.createDataFrame([("p", 1, "completed", "f1"), ("p", 2, "failed", "f1"), ("q", 1, "completed", "f2")], "k string, n int, status string, f string")
+    w = spark.createDataFrame([("p", "f1"), ("q", "f2"), ("r", "f3")], "k string, f string")
+    assert get(state.current(s, "k", ["n"], "status", "f", w)) == [("p", False), ("q", True), ("r", False)]
