@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .lookalikes import plain_form
+from .lookalikes import CLASS_OF, plain_form
 from .scans import PAGE_FORM, _capital, _marked
 
 # Responses without content, and labels that stand before an answer.
@@ -290,7 +290,8 @@ def is_refusal(text: str) -> bool:
 
 
 def _solid(text: str) -> str:
-    return re.sub(r"[\W_]+", "", plain_form(text)).lower()
+    """Letters and digits alone, look-alikes of other scripts as the Latin letter they are drawn like."""
+    return re.sub(r"[\W_]+", "", plain_form(text).translate(CLASS_OF)).lower()
 
 
 def is_copied(question: str, response: str) -> bool:

@@ -30,6 +30,12 @@ def test_copies():
     assert not P.is_copied(q, "962; 22403")
 
 
+def test_copies_of_look_alike_letters():
+    q = "For the unit \u03bfn geometric series, we may let p be equal to 15, Cadmor draws 58 auxiliary lines, and a second sketch makes it plain. The function f(x)=29x+76 gives the output of candles at the school garden \u03bfn day x. \u03a4he value \u03bff f(7) is\nA. 356\nB. 203\nC. 308\nD. 279"
+    r = q.replace("\u03bf", "o").replace("\u03a4", "T") + "\nPlease answer."
+    assert P.is_copied(q, r) and P.is_copied(r, q)
+
+
 QUESTION = {"zh": "袋中装有%d个红色竹篮和%d个白色竹篮，求摸到红色的概率。", "en": "A bag holds %d red and %d white baskets. Find the probability of the red ones."}
 SOLUTION = {"zh": "解：每一个被摸到的可能性相同，所以概率为$\\frac{%d}{%d}$。", "en": "Each piece is equally likely. The probability of red is $\\frac{%d}{%d}$."}
 
