@@ -343,9 +343,42 @@ e as (select id, unnest(g) as gram, len(g) as n from k),
 p as (select a.id as left_id, b.id as right_id, count(*) as shared, a.n as n, b.n as m from e a join e b on a.gram = b.gram and a.id < b.id group by all)
 select left_id, right_id, round(shared / (n + m - shared), 6) as similarity from p where shared / (n + m - shared) >= 0.8 - 1e-9""")
 def label_jaccard(spark, d):
-    """Labels whose sets of character pairs have a Jaccard similarity of 0.8 or more, over classes of equal sets."""
-    c = table(spark, d, "concepts").filter("preferred_label is not null").groupBy("preferred_label").agg(F.min("concept_key").alias("id")).withColumn("grams", T.ngrams("preferred_label", 2))
-    return similarity.jaccard_join(c, "id", "grams", 0.8).withColumn("similarity", F.round("similarity", 6))
+    """Labels whose sets of character pairs have a Jaccard similarity of 0.8 or more, each by its least concept; ``label_members`` has the concepts of each. Of labels with one set of pairs the SQL keeps one."""
+    return _label_links(_labels(spark, d))
+
+
+def _labels(spark: SparkSession, d: str) -> DataFrame:
+    """(preferred_label, id, grams, class_id): every label with its least concept, and the least of all labels with its set of character pairs."""
+    c = table(spark, d, "concepts").filter("preferred_label is not null").groupBy("preferred_label").agg(F.min("concept_key").alias("id")).withColumn("grams", F.array_sort(T.ngrams("preferred_label", 2)))
+    return c.join(c.groupBy("grams").agg(F.min("id").alias("class_id")), "grams")
+
+
+def _label_links(labels: DataFrame) -> DataFrame:
+    """(left_id, right_id, similarity) of all pairs of different labels: the classes that are linked with all their labels, and the labels of one class."""
+    classes = similarity.jaccard_join(labels, "id", "grams", 0.8).toDF("left_class", "right_class", "similarity")
+    same = labels.groupBy("class_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("class_id").alias("left_class"), F.col("class_id").alias("right_class"), F.lit(1.0).alias("similarity"))
+    a, b = labels.select(F.col("class_id").alias("left_class"), F.col("id").alias("a")), labels.select(F.col("class_id").alias("right_class"), F.col("id").alias("b"))
+    pairs = classes.union(same).join(a, "left_class").join(b, "right_class").filter("left_class != right_class or a < b")
+    return pairs.select(F.least("a", "b").alias("left_id"), F.greatest("a", "b").alias("right_id"), F.round("similarity", 6).alias("similarity"))
+
+
+@query("""
+with c as (select distinct concept_key, preferred_label as label from concepts where preferred_label is not null),
+l as (select label, min(concept_key) as label_id, list_sort(list_distinct([substr(label, i::int, 2) for i in range(1, greatest(length(label), 2))])) as g from c group by label),
+k as (select label, label_id, min(label_id) over (partition by g) as class_id, g from l),
+e as (select label_id as id, unnest(g) as gram, len(g) as n from k),
+p as (select a.id, b.id as other, count(*) as shared, a.n as n, b.n as m from e a join e b on a.gram = b.gram and a.id <> b.id group by all),
+t as (select id, count(*) as links from p where shared / (n + m - shared) >= 0.8 - 1e-9 group by id)
+select concept_key, label_id, class_id, coalesce(links, 0) as links from c join k using (label) left join t on t.id = k.label_id""")
+def label_members(spark, d):
+    """Every concept with the id that stands for its label in ``label_jaccard``, the class of its set of character pairs, and the number of links of its label."""
+    labels = _labels(spark, d)
+    links = _label_links(labels)
+    n = links.select(F.explode(F.array("left_id", "right_id")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("links"))
+    of = labels.join(n, "id", "left").select("preferred_label", F.col("id").alias("label_id"), "class_id", F.coalesce("links", F.lit(0).cast("long")).alias("links"))
+    c = table(spark, d, "concepts").select("concept_key", "preferred_label").filter("preferred_label is not null").distinct()
+    # a label that very many concepts share is counted before the join
+    return lookup_join(c, of, "preferred_label", "concept_key").select("concept_key", "label_id", "class_id", "links")
 
 
 @query()
