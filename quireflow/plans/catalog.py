@@ -384,9 +384,10 @@ def label_members(spark, d):
 @query()
 def item_containment(spark, d):
     """Evaluation items whose 12-character sequences stand for the half or more in one question."""
-    items = table(spark, d, "eval_items").select("item_id", T.ngrams("item_text", 12).alias("grams"))
+    items = table(spark, d, "eval_items").select("item_id", "item_text").distinct().select("item_id", T.ngrams("item_text", 12).alias("grams"))
     questions = table(spark, d, "questions").select("question_id", "question_body").distinct().select("question_id", T.ngrams("question_body", 12).alias("grams"))
-    return similarity.containment_join(questions, items, "question_id", "item_id", "grams", 0.5).withColumn("containment", F.round("containment", 6))
+    found = similarity.containment_join(items, questions, "item_id", "question_id", "grams", 0.5)
+    return found.select("question_id", "item_id", "shared", F.round("containment", 6).alias("containment"))
 
 
 @query("""

@@ -25,3 +25,14 @@ def test_labels_of_one_set_of_character_pairs(spark, get, tmp_path):
         least = min(ks)
         members += [(k, least, min(x for y in labels if grams[y] == grams[label] for x in labels[y]), sum(least in pair for pair in links)) for k in ks]
     assert get(QUERIES["label_members"](spark, str(tmp_path))) == sorted(members)
+
+
+def test_item_inside_a_long_question(spark, get, tmp_path):
+    item, other = "求函数f(x)=3x+8在区间[2,9]上的最大值与最小值之和", "袋中装有五个红色竹篮和七个白色竹篮，任意摸出两个，求颜色相同的概率是多少"
+    long = "".join(chr(0x4E00 + 7 * i) for i in range(200))
+    short = other[:14]
+    save(spark, tmp_path, "eval_items", [("i1", item), ("i2", other), ("i1", item), ("i3", None)], "item_id string, item_text string")
+    save(spark, tmp_path, "questions", [("q1", long[:100] + item + long[100:]), ("q2", short), ("q3", other[:24] + long), ("q4", None)], "question_id string, question_body string")
+    n, part = len(item) - 11, (24 - 11) / (len(other) - 11)
+    assert part >= 0.5
+    assert get(QUERIES["item_containment"](spark, str(tmp_path))) == [("q1", "i1", n, 1.0), ("q3", "i2", 13, round(part, 6))]
