@@ -36,3 +36,16 @@ def test_item_inside_a_long_question(spark, get, tmp_path):
     n, part = len(item) - 11, (24 - 11) / (len(other) - 11)
     assert part >= 0.5
     assert get(QUERIES["item_containment"](spark, str(tmp_path))) == [("q1", "i1", n, 1.0), ("q3", "i2", 13, round(part, 6))]
+
+
+def test_digests_of_sources(spark, tmp_path):
+    rows = [(1, "s", "x"), (2, "s", "y"), (3, "t", None), (4, None, "z")]
+    changed = {"same": rows[::-1], "text": [(1, "s", "x"), (2, "s", "Y"), *rows[2:]], "null": [*rows[:2], (3, "t", ""), rows[3]]}
+    digests = {}
+    for name, of in {"first": rows, **changed}.items():
+        save(spark, tmp_path / name, "documents", of, "doc_id long, source string, text string")
+        digests[name] = {r.source: (r.rows, r.digest) for r in QUERIES["source_digests"](spark, str(tmp_path / name)).collect()}
+    first = digests["first"]
+    assert {k: n for k, (n, _) in first.items()} == {"s": 2, "t": 1, None: 1} and digests["same"] == first
+    differ = {name: {k for k in first if digests[name][k] != first[k]} for name in ("text", "null")}
+    assert differ == {"text": {"s"}, "null": {"t"}}
