@@ -36,6 +36,15 @@ def test_copies_of_look_alike_letters():
     assert P.is_copied(q, r) and P.is_copied(r, q)
 
 
+def test_copies_with_few_whole_sequences():
+    q = "求圆周长三七与直径之比的值"
+    assert len(q) == 13 and P.is_copied(q, "下面这里是我的题目" + q)
+    long = "".join(chr(0x4E00 + i) for i in range(105))
+    altered = "".join(c if i % 7 else "x" for i, c in enumerate(long))
+    assert P.is_copied(long, altered)
+    assert P.is_copied("计算三百五十二加上一百零六" * 3, "计算三百五十二加上一百零六")
+
+
 QUESTION = {"zh": "袋中装有%d个红色竹篮和%d个白色竹篮，求摸到红色的概率。", "en": "A bag holds %d red and %d white baskets. Find the probability of the red ones."}
 SOLUTION = {"zh": "解：每一个被摸到的可能性相同，所以概率为$\\frac{%d}{%d}$。", "en": "Each piece is equally likely. The probability of red is $\\frac{%d}{%d}$."}
 
