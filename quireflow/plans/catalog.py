@@ -127,7 +127,8 @@ def choice_answers(spark, d):
 
 @query("select question_id, try_cast(nullif(regexp_extract(translate(number, '０１２３４５６７８９　 ', '0123456789'), '([0-9]+)', 1), '') as int) as n from (select distinct question_id, number from questions where number is null or not regexp_matches(number, '[一二三四五六七八九十]'))")
 def question_numbers(spark, d):
-    q = table(spark, d, "questions").select("question_id", "number").distinct().filter("number is null or not rlike(number, '[一二三四五六七八九十]')")
+    """Numbers of questions in digits or Chinese numerals; the SQL leaves out the numerals."""
+    q = table(spark, d, "questions").select("question_id", "number").distinct()
     return q.select("question_id", T.question_number("number").alias("n"))
 
 
@@ -215,9 +216,9 @@ with b as (select distinct book_key, key, start_line, end_line from split_nodes
 c as (select distinct concept_key, book_key, first_source_order as at from concepts)
 select concept_key, count(key) as covering from c left join b on b.book_key = c.book_key and c.at between b.start_line and b.end_line group by concept_key""")
 def range_cover(spark, d):
-    """How many sections cover the place of each concept: an interval join through blocks of lines, so that no book is joined pair by pair."""
+    """How many sections cover the place of each concept: an interval join through blocks of lines, so that no book is joined pair by pair. The SQL leaves out sections of more than 400 lines."""
     width = 400
-    b = table(spark, d, "split_nodes").select("book_key", "key", "start_line", "end_line").distinct().filter("end_line - start_line between 0 and 400")
+    b = table(spark, d, "split_nodes").select("book_key", "key", "start_line", "end_line").distinct().filter("end_line >= start_line")
     b = b.withColumn("block", F.explode(F.sequence(F.floor(F.col("start_line") / width), F.floor(F.col("end_line") / width))))
     c = table(spark, d, "concepts").select("concept_key", "book_key", F.col("first_source_order").alias("at")).distinct().withColumn("block", F.floor(F.col("at") / width))
     hit = c.join(b, ["book_key", "block"], "left").withColumn("inside", F.col("at").between(F.col("start_line"), F.col("end_line")))

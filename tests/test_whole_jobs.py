@@ -49,3 +49,11 @@ def test_digests_of_sources(spark, tmp_path):
     assert {k: n for k, (n, _) in first.items()} == {"s": 2, "t": 1, None: 1} and digests["same"] == first
     differ = {name: {k for k in first if digests[name][k] != first[k]} for name in ("text", "null")}
     assert differ == {"text": {"s"}, "null": {"t"}}
+
+
+def test_long_sections_and_chinese_numerals(spark, get, tmp_path):
+    save(spark, tmp_path, "split_nodes", [("b", "whole", 1, 5000), ("b", "part", 900, 1300), ("b", "odd", 30, 20)], "book_key string, key string, start_line long, end_line long")
+    save(spark, tmp_path, "concepts", [("c1", "b", 25), ("c2", "b", 1000), ("c3", "b", 5001), ("c4", "x", 3)], "concept_key string, book_key string, first_source_order long")
+    assert get(QUERIES["range_cover"](spark, str(tmp_path))) == [("c1", 1), ("c2", 2), ("c3", 0), ("c4", 0)]
+    save(spark, tmp_path, "questions", [("q1", "十二、"), ("q2", "３."), ("q3", None), ("q4", "第三题")], "question_id string, number string")
+    assert get(QUERIES["question_numbers"](spark, str(tmp_path))) == [("q1", 12), ("q2", 3), ("q3", None), ("q4", 3)]
