@@ -1,23 +1,23 @@
 """Evaluation items whose text stands, whole or in part, in documents.
 
 Texts are compared by their letters and digits alone. An item of n characters leaks
-where a connected passage of at least n / 2 of its characters stands in a document
-with at most ``ERROR_RATE`` edits a character. By the q-gram lemma such a passage of
-length w keeps at least ``w - q + 1 - q * e`` of its q-grams under e edits, on
-diagonals at most e apart. So shared q-grams are counted in overlapping diagonal
-bands of width 2e, bands below the bound are dropped, and the rest is aligned within
-the band.
+where a connected passage of s characters of it, s at least n / 2, stands in a document
+with at most ``ERROR_RATE * s`` edits. By the q-gram lemma such a passage keeps at least
+``s - q + 1 - q * e`` of its q-grams under e edits, on diagonals at most e apart. So
+shared q-grams are counted in overlapping diagonal bands, bands below the least of these
+bounds over all s are dropped, and a banded alignment decides the rest exactly.
 
 Not all q-grams need be counted: with those alone that stand in few items (rare) the
-lemma holds with the number of rare q-grams of the passage in place of ``w - q + 1``.
-An item with a half whose bound would then be low is counted with q-grams that are
-less rare, at last with all. So the choice saves work and drops no case.
+lemma holds with the number of rare q-grams of the passage in place of ``s - q + 1``.
+An item whose bound would then be low is counted with q-grams that are less rare, at
+last with all, whose bound is one at least. So the choice saves work and drops no case.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -35,8 +35,6 @@ BLOCK = 400_000
 SEP = 2
 N_CODES = 0x110000
 FILTER_BITS = 24
-#: Scores of the alignment: a character that fits, an edit.
-EDIT = 4
 
 
 class _Solid:
@@ -100,6 +98,23 @@ class ItemIndex:
     first: np.ndarray
 
 
+@lru_cache(4096)
+def passages(n: int) -> list[tuple[int, int]]:
+    """(s, e): the shortest passage of at least half of ``n`` characters for each number of edits that some passage may have.
+
+    Longer ones with the same edits share more q-grams, so a bound that holds for these holds for all.
+    """
+    half = (n + 1) // 2
+    out = [(half, _budget(half))]
+    for e in range(out[0][1] + 1, _budget(n) + 1):
+        out.append((int(np.ceil(e / ERROR_RATE - 1e-9)), e))
+    return out
+
+
+def _budget(span: int) -> int:
+    return int(ERROR_RATE * span + 1e-9)
+
+
 def build_index(ids: list, texts: list[str]) -> ItemIndex:
     codes = [solid_codes(t) for t in texts]
     grams = [_hashes(c) for c in codes]
@@ -109,20 +124,17 @@ def build_index(ids: list, texts: list[str]) -> ItemIndex:
     bound, width = np.ones(len(ids), np.int64), np.ones(len(ids), np.int64)
     for k, g in enumerate(grams):
         n = len(codes[k])
-        edits = int(np.ceil(ERROR_RATE * n))
-        width[k] = max(2, 2 * edits)
+        width[k] = max(2, 2 * _budget(n))
         if not len(g):
             continue
-        half = max(1, (n + 1) // 2)
-        window = min(max(1, half - Q + 1), len(g))
         for level in RARE:
             rare = found_in[np.searchsorted(distinct, g)] <= level
             sums = np.concatenate([[0], np.cumsum(rare)])
             # e edits destroy at most q * e q-grams of a passage
-            least = int((sums[window:] - sums[:-window]).min()) - Q * int(ERROR_RATE * half)
+            least = min(int((sums[w:] - sums[:-w]).min()) - Q * e for w, e in ((min(max(1, s - Q + 1), len(g)), e) for s, e in passages(n)))
             if least >= ENOUGH:
                 break
-        bound[k] = max(3, least)
+        bound[k] = max(1, least)
         gram.append(g[rare])
         item.append(np.full(int(rare.sum()), k))
         place.append(np.flatnonzero(rare))
@@ -136,146 +148,180 @@ def build_index(ids: list, texts: list[str]) -> ItemIndex:
 
 
 def candidates(h: np.ndarray, doc: np.ndarray, index: ItemIndex, bits: np.ndarray) -> np.ndarray:
-    """Rows (text, item, least place, greatest place) of the bands that meet the bound."""
+    """Rows (text, item, least diagonal, greatest diagonal) of the bands that meet the bound; a diagonal is the place in the text less that in the item."""
+    none = np.zeros((0, 4), np.int64)
     at = np.flatnonzero(bits[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
     if not len(at) or not len(index.gram):
-        return np.zeros((0, 4), np.int64)
+        return none
     slot = np.minimum(np.searchsorted(index.distinct, h[at]), len(index.distinct) - 1)
     hit = index.distinct[slot] == h[at]
     at, slot = at[hit], slot[hit]
     if not len(at):
-        return np.zeros((0, 4), np.int64)
+        return none
     lo, n = index.first[slot], index.first[slot + 1] - index.first[slot]
     entry = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     where = np.repeat(at, n)
     item = index.item[entry]
-    # first per text and item, without regard to diagonals, which needs no sorting
+    # first per text and item, without regard to diagonals; memory follows the hits, not the number of items
     pair = item * (int(doc[-1]) + 1) + doc[where]
-    enough = np.bincount(pair, minlength=0)[pair] >= index.bound[item]
+    if len(index.ids) * (int(doc[-1]) + 1) <= 4_000_000:
+        total = np.bincount(pair)[pair]
+    else:
+        _, inverse, total = np.unique(pair, return_inverse=True, return_counts=True)
+        total = total[inverse]
+    enough = total >= index.bound[item]
     entry, where, item = entry[enough], where[enough], item[enough]
     if not len(entry):
-        return np.zeros((0, 4), np.int64)
+        return none
     # bands are pairs of neighbouring halves; diagonals are those of the whole block, so texts never share one
-    half = (where - index.place[entry] + len(h)) // (index.width[item] // 2)
+    step = index.width[item] // 2
+    half = (where - index.place[entry] + len(h)) // step
     key = (item << np.int64(40)) | half
     order = np.argsort(key, kind="stable")
     k, w, d = key[order], where[order], doc[where[order]]
     # a q-gram that stands several times in the item counts once for a place
     fresh = np.concatenate([[True], (k[1:] != k[:-1]) | (w[1:] != w[:-1])])
     first = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (d[1:] != d[:-1])]))
-    seen, last = np.add.reduceat(fresh, first), np.concatenate([first[1:], [len(k)]]) - 1
-    key, text, lo, hi = k[first], d[first].astype(np.int64), w[first], w[last]
+    seen = np.add.reduceat(fresh, first)
+    key, text = k[first], d[first].astype(np.int64)
     it = key >> np.int64(40)
     follows = np.concatenate([(key[1:] == key[:-1] + 1) & (text[1:] == text[:-1]), [False]])
     both = seen + np.where(follows, np.concatenate([seen[1:], [0]]), 0)
     good = both >= index.bound[it]
-    after = np.minimum(np.arange(len(key)) + 1, len(key) - 1)
-    lo, hi = np.where(follows, np.minimum(lo, lo[after]), lo), np.where(follows, np.maximum(hi, hi[after]), hi)
-    found = np.stack([text[good], it[good], lo[good], hi[good]], axis=1)
-    found = found[np.lexsort((found[:, 2], found[:, 1], found[:, 0]))]
-    if not len(found):
-        return found
-    # overlapping bands and neighbouring places of one text and item are one region
-    first = np.flatnonzero(np.concatenate([[True], (found[1:, 0] != found[:-1, 0]) | (found[1:, 1] != found[:-1, 1]) | (found[1:, 2] > found[:-1, 3])]))
-    return np.stack([found[first, 0], found[first, 1], found[first, 2], np.maximum.reduceat(found[:, 3], first)], axis=1)
+    key, text, it = key[good], text[good], it[good]
+    if not len(key):
+        return none
+    # bands that overlap are one
+    first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1] + 1) | (text[1:] != text[:-1])]))
+    last = np.append(first[1:], len(key)) - 1
+    mask = np.int64((1 << 40) - 1)
+    it, step = it[first], index.width[it[first]] // 2
+    return np.stack([text[first], it, (key[first] & mask) * step - len(h), ((key[last] & mask) + 2) * step - 1 - len(h)], axis=1)
 
 
 def _enough(region: np.ndarray, grams: np.ndarray, n: int) -> bool:
-    """The same bound once more, with all q-grams of the item: some stretch as long as half of it, with its edits, must hold enough of them."""
-    half = (n + 1) // 2
-    edits = int(ERROR_RATE * half)
-    at = np.minimum(np.searchsorted(grams, region), len(grams) - 1)
-    hits = np.cumsum(grams[at] == region) if len(grams) else np.zeros(0)
-    if not len(hits):
+    """The same bound once more, with all q-grams of the item: some stretch as long as a passage with its edits must hold enough of them."""
+    if not len(region) or not len(grams):
         return False
-    w = half + edits
-    most = hits[-1] if len(hits) <= w else max(hits[w - 1], (hits[w:] - hits[:-w]).max())
-    return most >= max(1, half - Q + 1 - Q * edits)
-
-
-def _edits(a: np.ndarray, b: np.ndarray) -> int:
-    """Edit distance of two short pieces."""
-    if not len(a) or not len(b):
-        return max(len(a), len(b))
-    if max(len(a), len(b)) > 24:
-        return max(len(a), len(b))
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a.tolist(), 1):
-        last, row[0] = row[0], i
-        for j, y in enumerate(b.tolist(), 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-    return row[-1]
-
-
-def align(item: np.ndarray, region: np.ndarray, width: int, q: int = 4) -> tuple[int, int]:
-    """(characters of the item that the best connected passage spans, its edits).
-
-    Exact runs of at least ``q`` characters are chained within the band; between two runs
-    the edit distance of the pieces counts. The best chain maximises characters minus
-    ``EDIT`` for each edit.
-    """
-    a, b = _hashes(item, q), _hashes(region, q)
-    if not len(a) or not len(b):
-        return 0, 0
-    order = np.argsort(a, kind="stable")
-    lo, hi = np.searchsorted(a[order], b), np.searchsorted(a[order], b, "right")
-    n = hi - lo
-    j = np.repeat(np.arange(len(b)), n)
-    i = order[np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-    if not len(i):
-        return 0, 0
-    by = np.lexsort((i, j - i))
-    i, j = i[by], j[by]
-    new = np.concatenate([[True], ((j - i)[1:] != (j - i)[:-1]) | (i[1:] != i[:-1] + 1)])
-    first = np.flatnonzero(new)
-    size = np.diff(np.concatenate([first, [len(i)]])) + q - 1
-    keep = size >= 5
-    runs = sorted(zip(i[first][keep].tolist(), j[first][keep].tolist(), size[keep].tolist()))
-    best: list[tuple[int, int, int]] = []  # score, first place in the item, edits
-    top = (0, 0, 0)
-    for k, (ri, rj, rn) in enumerate(runs):
-        state = (rn, ri, 0)
-        for p in range(k - 1, max(-1, k - 60), -1):
-            pi, pj, pn = runs[p]
-            # runs may overlap where characters repeat; the later one is then cut
-            over = max(pi + pn - ri, pj + pn - rj, 0)
-            gi, gj = ri + over - pi - pn, rj + over - pj - pn
-            if over >= rn or rj <= pj or abs((rj - ri) - (pj - pi)) > width or max(gi, gj) > 60:
-                continue
-            if best[p][0] + rn - over - EDIT * max(abs(gi - gj), 1 if gi or gj else 0) <= state[0]:
-                continue
-            e = _edits(item[pi + pn : ri + over], region[pj + pn : rj + over])
-            s = best[p][0] + rn - over + min(gi, gj) - (EDIT + 1) * e
-            if s > state[0]:
-                state = (s, best[p][1], best[p][2] + e)
-        best.append(state)
-        if state[0] > top[0]:
-            top = (state[0], ri + rn - state[1], state[2])
-    return top[1], top[2]
+    at = np.minimum(np.searchsorted(grams, region), len(grams) - 1)
+    hits = np.concatenate([[0], np.cumsum(grams[at] == region)])
+    for s, e in passages(n):
+        w, least = min(s + e, len(region)), s - Q + 1 - Q * e
+        if hits[-1] >= least and (hits[w:] - hits[: len(hits) - w]).max() >= least:
+            return True
+    return False
 
 
-def leaks_in(texts: list[str], index: ItemIndex, bits: np.ndarray, share: float = 0.5) -> list[tuple[int, int]]:
+def aligned(item: np.ndarray, text: np.ndarray, least: int, greatest: int) -> bool:
+    """Whether a passage of at least half of ``item`` stands in ``text`` within its edits, on the diagonals from ``least`` to ``greatest``.
+
+    Exact dynamic programming over the band, one layer for each number of edits: the
+    value of a cell is the longest stretch of the item that an alignment which ends there
+    spans with that many edits. Within a layer runs of equal characters extend the
+    stretches along the diagonals, in steps of powers of two.
+    """
+    n, width = len(item), greatest - least + 1
+    half, most = (n + 1) // 2, _budget(n)
+    a, b = max(0, least), min(len(text), n + greatest)
+    if b <= a:
+        return False
+    padded = np.zeros(n + width, np.uint32)
+    padded[a - least : b - least] = text[a:b]
+    # one row for each diagonal
+    same = np.lib.stride_tricks.sliding_window_view(padded, n)[:width] == item
+    kind = np.int16 if n < 8_000 else np.int32
+    # equal characters up to each cell, by doubling; and for each power of two the gain of as many, where they stand before the cell
+    span, size, gains = same.astype(kind), 1, []
+    while size < n and (full := span == size).any():
+        gains.append(size)
+        longer = span.copy()
+        longer[:, size:] += np.where(full[:, size:], span[:, :-size], kind(0))
+        span, size = longer, 2 * size
+    if not _possible(span, n):
+        return False
+    gains = [(g, np.where(span[:, g:] >= g, kind(g), kind(-2 * n))) for g in gains]
+    longest: list[int] = []
+    for e in range(most + 1):
+        if e:
+            base = span.copy()
+            more = span[:, :-1] + kind(1)
+            np.maximum(base[:, 1:], more, out=base[:, 1:])  # another character
+            np.maximum(base[:-1, 1:], more[1:], out=base[:-1, 1:])  # one of the item is missing
+            np.maximum(base[1:], span[:-1], out=base[1:])  # one more in the text
+            np.maximum(base[:, 0], 1, out=base[:, 0])
+            for g, gain in gains:
+                np.maximum(base[:, g:], base[:, :-g] + gain, out=base[:, g:])
+            span = base
+        longest.append(int(span.max()))
+        if longest[-1] >= max(half, int(np.ceil(e / ERROR_RATE - 1e-9))):
+            return True
+        if not _reachable(longest, half, most):
+            return False
+    return False
+
+
+def _possible(span: np.ndarray, n: int) -> bool:
+    """The lemma once more, within the band and for short q-grams, of which an edit destroys fewer."""
+    for q in (2, 3, 4):
+        hits = np.concatenate([[0], np.cumsum((span[:, q - 1 :] >= q).any(axis=0))])
+        if not any((hits[w:] - hits[: len(hits) - w]).max() >= w - q * e for w, e in ((s - q + 1, e) for s, e in passages(n)) if w > 0):
+            return False
+    return True
+
+
+def _reachable(longest: list[int], half: int, most: int) -> bool:
+    """Whether more edits may still give a passage: one with e + f + 1 edits is one with e, an edit, and one with f."""
+    bound = list(longest)
+    for f in range(len(longest), most + 1):
+        bound.append(min(longest[i] + 1 + bound[f - i - 1] for i in range(min(len(longest), f))))
+        if bound[f] >= max(half, int(np.ceil(f / ERROR_RATE - 1e-9))):
+            return True
+    return False
+
+
+def _pieces(texts: list[str], overlap: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(codes, number of the text of each code): blocks of whole texts, each ended by SEP; a huge text comes in pieces that share ``overlap`` characters."""
+    block, docs, size = [], [], 0
+    end = np.array([SEP], np.uint32)
+    for k, t in enumerate(texts):
+        codes = np.concatenate([solid_codes(t[i : i + BLOCK]) for i in range(0, len(t), BLOCK)] or [end[:0]])
+        step = max(BLOCK, overlap)
+        for i in range(0, max(1, len(codes)), step):
+            part = codes[i : i + step + overlap]
+            if size and size + len(part) > BLOCK:
+                yield np.concatenate(block), np.repeat(np.array(docs), [len(x) for x in block])
+                block, docs, size = [], [], 0
+            block.append(np.concatenate([part, end]))
+            docs.append(k)
+            size += len(part)
+    if block:
+        yield np.concatenate(block), np.repeat(np.array(docs), [len(x) for x in block])
+
+
+def leaks_in(texts: list[str], index: ItemIndex, bits: np.ndarray) -> list[tuple[int, int]]:
     """(number of the text, number of the item) of all leaks."""
-    raw = np.frombuffer(chr(SEP).join([t.replace(chr(SEP), " ") for t in texts] + [""]).encode("utf-32-le", "surrogatepass"), np.uint32)
-    doc = np.repeat(np.arange(len(texts), dtype=np.int32), np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
-    codes = SOLID(raw)
-    keep = codes > 0
-    codes, doc = codes[keep], doc[keep]
-    ends = np.flatnonzero(codes == SEP)
-    starts = np.concatenate([[0], ends[:-1] + 1])
+    longest = max((len(c) for c in index.codes), default=0)
     found: set[tuple[int, int]] = set()
-    h = _hashes(codes)
-    for d, k, lo, hi in candidates(h, doc, index, bits).tolist():
-        if (d, k) in found:
+    for codes, doc in _pieces(texts, longest + _budget(longest) + Q):
+        ends = np.flatnonzero(codes == SEP)
+        part = np.zeros(len(codes), np.int64)
+        part[ends[:-1] + 1] = 1
+        part = np.cumsum(part)
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        h = _hashes(codes)
+        if not len(h):
             continue
-        item = index.codes[k]
-        # whatever of the item stands around the counted q-grams lies within its length of them
-        a, b = max(int(starts[d]), lo - len(item)), min(int(ends[d]), hi + Q + len(item))
-        if not _enough(h[a : max(a, b - Q + 1)], index.all_grams[k], len(item)):
-            continue
-        span, edits = align(item, codes[a:b], int(index.width[k]))
-        if span >= share * len(item) and edits <= ERROR_RATE * span:
-            found.add((d, k))
+        for p, k, least, greatest in candidates(h, part, index, bits).tolist():
+            d = int(doc[starts[p]])
+            if (d, k) in found:
+                continue
+            item = index.codes[k]
+            # edits may lead the passage out of the band of its q-grams by as many diagonals
+            e, a, b = _budget(len(item)), int(starts[p]), int(ends[p])
+            least, greatest = least - e, greatest + e
+            lo, hi = max(a, least), min(b, len(item) + greatest)
+            if _enough(h[lo : max(lo, hi - Q + 1)], index.all_grams[k], len(item)) and aligned(item, codes[a:b], least - a, greatest - a):
+                found.add((d, k))
     return sorted(found)
 
 

@@ -52,3 +52,54 @@ def test_edge_cases(spark, get):
     e = spark.createDataFrame([(1, item), (1, item), (2, None), (3, ""), (4, "short")], "item_id long, item_text string")
     assert get(L.find_leaks(d, e)) == [(4, 1), (5, 1), (6, 1)]
     assert L.find_leaks(d.limit(0), e).count() == 0 and L.find_leaks(d, e.limit(0)).count() == 0
+
+
+def test_half_of_short_items(spark):
+    r = random.Random(3)
+    items = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n)) for n in range(12, 24) for _ in range(4)]
+    docs = ["".join(r.choice("ABCDEFGH") for _ in range(30)) + x[: (len(x) + 1) // 2] + "".join(r.choice("ABCDEFGH") for _ in range(30)) for x in items]
+    index = L.build_index(list(range(len(items))), items)
+    found = L.leaks_in(docs, index, L.np.unpackbits(index.filter).view(bool))
+    assert {(k, k) for k in range(len(items))} <= set(found)
+
+
+def brute_leak(a, b):
+    """Whether a passage of s >= n / 2 characters stands in b with at most ERROR_RATE * s edits, from every start, by plain dynamic programming."""
+    n = len(a)
+    for i in range(n):
+        row = [0] * (len(b) + 1)
+        for s in range(1, n - i + 1):
+            last, row[0] = row[0], s
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (a[i + s - 1] != y))
+            if s >= (n + 1) // 2 and min(row) <= L.ERROR_RATE * s + 1e-9:
+                return True
+    return False
+
+
+def test_exactly_as_brute_force():
+    r = random.Random(21)
+    item = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(60))
+    docs = []
+    for _ in range(60):
+        a = r.randrange(0, 30)
+        piece = list(item[a : a + r.randrange(26, 60)])
+        for _ in range(r.randrange(0, 6)):
+            at = r.randrange(len(piece))
+            piece[at : at + r.choice((0, 1, 1))] = r.choice(("", "Q", "q", "zz"))
+        docs.append("".join(r.choice("xyzw") for _ in range(9)) + "".join(piece).lower() + "".join(r.choice("xyzw") for _ in range(9)))
+    index = L.build_index([0], [item])
+    found = {d for d, _ in L.leaks_in(docs, index, L.np.unpackbits(index.filter).view(bool))}
+    assert found == {k for k, d in enumerate(docs) if brute_leak(item, d)} and 10 < len(found) < 55
+
+
+def test_one_half_reworded_and_pieces_of_huge_texts(monkeypatch):
+    r = random.Random(5)
+    item = text(40, r)
+    half = item[: len(item) // 2 + 4]
+    docs = [text(30, r) + half + text(20, r).replace("e", "a"), text(3000, r) + item + text(500, r), text(3000, r)]
+    index = L.build_index([7], [item])
+    bits = L.np.unpackbits(index.filter).view(bool)
+    assert L.leaks_in(docs, index, bits) == [(0, 0), (1, 0)]
+    monkeypatch.setattr(L, "BLOCK", 1000)
+    assert L.leaks_in(docs, index, bits) == [(0, 0), (1, 0)]
