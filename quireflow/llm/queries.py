@@ -24,9 +24,18 @@ def _records(df: DataFrame, key: str, *fields: str) -> DataFrame:
     return df.select(F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(key).alias("id"), F.col(f).alias("text")) for f in fields])).alias("r")).select("r.*")
 
 
-def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+def _scans(spark: SparkSession, folder: str) -> DataFrame:
     questions = _records(table(spark, folder, "questions"), "question_id", "question_body", "solution_body")
-    return scans.scan_noise(questions.union(_records(table(spark, folder, "source_assets"), "asset_id", "content")))
+    return questions.union(_records(table(spark, folder, "source_assets"), "asset_id", "content"))
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return scans.scan_noise(_scans(spark, folder))
+
+
+def p4_repaired(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text as continuous paragraphs, with the kinds of noise it had."""
+    return scans.repair_texts(_scans(spark, folder)).select("field", F.col("id").alias("record_id"), "repaired", F.array_join("noise", " ").alias("noise")).distinct()
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -56,7 +65,7 @@ def p8_statistics(spark: SparkSession, folder: str) -> DataFrame:
     return quality.text_statistics(table(spark, folder, "documents")).select("doc_id", "n_chars", "n_lines", F.round("digit_ratio", 6).alias("digit_ratio"))
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_statistics": p8_statistics}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p4_repaired": p4_repaired, "p5_found": p5_found, "p6_found": p6_found, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_statistics": p8_statistics}
 
 SQL = {
     "p8_statistics": r"""
