@@ -1,11 +1,16 @@
 """Defects of prompt-response pairs: empty, refusal, copied, language, truncated.
 
-Languages are compared by a naive Bayes model over character n-grams, fitted on all
-labelled prompts and on short word lists for languages without labelled prompts.
-Truncation is judged by the likelihood that a text ends where it ends: of all places
-in all responses at which the last characters of a response stand, the share that is
-an end. The counts come from all responses; the longest context with enough
-evidence decides. A pair gets the first defect that holds, in the order above.
+Languages are compared by the posteriors of a naive Bayes model over character n-grams,
+fitted on all labelled prompts and on short word lists for languages without labelled
+prompts; a class of its own stands for alphabets that no known language has. Truncation
+is judged by the likelihood that a text ends where it ends: of all places in all responses
+at which the last characters of a response stand, the share that is an end; the longest
+context with enough evidence decides. Empty responses, refusals and copies are found by
+rules. A pair gets the first defect that holds, in the order above.
+
+Texts are read once: a pass judges each pair by itself and writes the text forms; the
+end-of-text counts are made of these, for the contexts alone of responses that no
+earlier rule has decided.
 """
 
 from __future__ import annotations
@@ -20,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import lookup_join
+from ..storage import Scratch
 from .lookalikes import CLASS_OF, plain_form
 from .scans import PAGE_FORM, _capital, _marked
 
@@ -34,6 +41,7 @@ COURTESY = re.compile(r"抱歉|对不起|遗憾|谅解|理解|感谢|谢谢|请
 
 # Frequent words by language, for languages without labelled prompts.
 SEED_WORDS = {
+    "en": "the of and to a in is that for it as with be by on are at from this which or we an can has so not have its but if when one only each both what how then there these after before all any no some such find value number equation solution result sum answer first therefore equal likely piece probability follows",
     "de": "der die das und ist nicht ein eine einen mit von für auf dass wir man sich den dem als auch wird werden aus bei nach wenn oder über zahl gleichung lösung ergebnis daher zuerst danach schreiben setzen gilt sind kann durch folgt summe bedingung wert",
     "fr": "le la les des du de et est une un que qui dans pour par sur avec pas on nous donc alors sont cette ce valeur nombre équation résultat somme condition ensuite abord forme vérifie être plus ou si au aux il elle comme peut",
     "es": "el la los las de del y es una un que en por para con no se su al lo como más pero sus valor número ecuación resultado suma condición primero después luego forma cumple son esta este ha tiene entonces tanto sustituimos escribimos obtiene",
@@ -44,28 +52,34 @@ SEED_WORDS = {
     "ja": "の に は を た が で て と し れ さ ある いる する から こと ため です ます",
     "ko": "이 가 을 를 은 는 의 에 와 과 하다 있다 그리고 따라서 값",
 }
-#: Letters of evidence that a language needs, and the odds (natural logarithm) by which it must win.
-MIN_LETTERS, MIN_CJK, MARGIN = 14, 3, 6.0
-#: The same for prompts, which are of one language of few and may be short.
-PROMPT_LETTERS, PROMPT_CJK = 6, 2
+#: Odds (natural logarithm) by which another language than the prompt's must win.
+MARGIN = 9.0
+#: Counts to which a language is scaled down at most, so that a large one does not know its rare n-grams better than others; what is added to each.
+LARGE, ADDED = 100_000, 0.5
+#: Probabilities of a letter of no known alphabet, in a known language and in another; and of any known n-gram in another.
+STRANGE, OTHER_STRANGE, OTHER_KNOWN = 1e-6, 1e-3, 1e-5
 #: Orders of the end-of-text model, places that a context must have, and the share of ends below which a text is cut off.
 ORDERS, MIN_PLACES, END_SHARE = (10, 7, 5, 3, 2), 12, 0.04
 FORMULA = re.compile(r"\$[^$]*\$?|\\[a-zA-Z]+|[A-Za-z]\([^)]*\)")
-BITS = 22
+#: Bits of the bitmap of contexts: 16 for each context, within these powers of two.
+LEAST_BITS, MOST_BITS = 16, 24
 
 
 # ---- language ---------------------------------------------------------------
 
 
+# raised, lowered and circled digits and fractions are no letters
+RAISED = re.compile("[²³¹¼-¾⁰-₟⅐-↋①-⓿❶-➓]")
 _CJK, _KANA, _HANGUL = re.compile("[㐀-鿿]"), re.compile("[぀-ヿ]"), re.compile("[가-힣]")
 
 
 def _words(text: str) -> list[str]:
     """Words of three letters and more and CJK runs; ideographs count as one letter, as do syllables of Japanese and Korean."""
-    t = FORMULA.sub(" ", plain_form(text)).lower()
+    t = RAISED.sub(" ", FORMULA.sub(" ", plain_form(text)).lower())
     if not t.isascii():
         t = _HANGUL.sub("한", _KANA.sub("か", _CJK.sub("汉", t)))
-    return [w[:40] for w in re.findall(r"[^\W\d_]+", t) if len(w) > 2 or not w.isascii()]
+    # words without an end are read in pieces
+    return [w for w in re.findall(r"[^\W\d_]{1,40}", t) if len(w) > 2 or not w.isascii()]
 
 
 _GRAMS: dict[str, tuple[str, ...]] = {}
@@ -89,6 +103,11 @@ def grams(text: str) -> Counter:
     return out
 
 
+OTHER = "?"
+# Language tags for none, several or an unknown language.
+NO_LANGUAGE = ("und", "mul", "mis", "zxx")
+
+
 class LanguageModel:
     """Naive Bayes over character n-grams."""
 
@@ -99,62 +118,63 @@ class LanguageModel:
         self.vocabulary = {g for c in counts.values() for g in c}
         self.weights: dict[str, dict[str, float]] = {}
         self.unseen: dict[str, float] = {}
+        v = len(self.vocabulary)
         for lang, c in counts.items():
             total = sum(c.values())
-            # every language weighs alike, whatever the size of its sample
-            scale = 100_000 / max(total, 1)
-            v = len(self.vocabulary)
-            self.weights[lang] = {g: math.log((n * scale + 0.5) / (100_000 + 0.5 * v)) for g, n in c.items()}
-            self.unseen[lang] = math.log(0.5 / (100_000 + 0.5 * v))
+            # a small sample is never scaled up: a language with few texts, such as a misspelled label, is nearly uniform and loses to one that is well known
+            scale = min(1.0, LARGE / max(total, 1))
+            whole = total * scale + ADDED * v
+            self.weights[lang] = {g: math.log((n * scale + ADDED) / whole) for g, n in c.items()}
+            self.unseen[lang] = math.log(ADDED / whole)
         self.languages = sorted(self.weights)
         self.known: dict[str, np.ndarray] = {}
 
     def word_scores(self, word: str) -> np.ndarray:
-        """Log-likelihoods of a word by language; n-grams that no language has say nothing."""
+        """Log-likelihoods of a word by language, those of another one last. N-grams that no language has say nothing but for single letters."""
         out = self.known.get(word)
         if out is None:
             if len(self.known) > 200_000:
                 self.known.clear()
             g = [x for x in word_grams(word) if x in self.vocabulary]
-            out = self.known[word] = np.array([sum(self.weights[k].get(x, self.unseen[k]) for x in g) for k in self.languages])
+            strange = sum(len(x) == 1 and x not in self.vocabulary for x in word_grams(word))
+            of = [sum(self.weights[k].get(x, self.unseen[k]) for x in g) + strange * math.log(STRANGE) for k in self.languages]
+            out = self.known[word] = np.array([*of, len(g) * math.log(OTHER_KNOWN) + strange * math.log(OTHER_STRANGE)])
         return out
 
-    def best(self, text: str, letters: int = MIN_LETTERS, ideographs: int = MIN_CJK) -> tuple[str | None, dict[str, float]]:
+    def posteriors(self, text: str) -> dict[str, float]:
+        """Logarithms of the posteriors under equal priors; empty for a text without words."""
         words = _words(text)
-        joined = "".join(words)
-        cjk = sum(joined.count(c) for c in "汉か한")
-        if cjk < ideographs and len(joined) < letters:
-            return None, {}
-        scores = dict(zip(self.languages, np.sum([self.word_scores(w) for w in words], axis=0).tolist()))
-        return max(scores, key=scores.get), scores
+        if not words:
+            return {}
+        scores = np.sum([self.word_scores(w) for w in words], axis=0)
+        return dict(zip([*self.languages, OTHER], (scores - np.logaddexp.reduce(scores)).tolist()))
 
 
 def fit_languages(pairs: DataFrame, prompt: str, label: str) -> LanguageModel:
-    """From all labelled prompts. Ideographs are one letter, so the table has at most the n-grams of a few alphabets."""
+    """From all labelled prompts. Ideographs are one letter, as are syllables, so the table has at most the n-grams of a few alphabets for each label."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[str, Counter] = defaultdict(Counter)
         for batch in batches:
+            words: dict[str, Counter] = defaultdict(Counter)
             for lang, text in zip(batch["label"], batch["prompt"]):
-                total[lang].update(grams(text))
+                words[lang].update(_words(text))
+            for lang, c in words.items():
+                into = total[lang]
+                for w, n in c.items():
+                    for g in word_grams(w):
+                        into[g] += n
         yield pd.DataFrame([(lang, g, n) for lang, c in total.items() for g, n in c.items()], columns=["lang", "gram", "n"])
 
-    known = pairs.select(F.lower(F.trim(F.col(label))).alias("label"), F.col(prompt).alias("prompt")).dropna().filter("label != ''")
-    rows = known.mapInPandas(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    # a language needs a hundredth of all n-grams, so that misspelled labels make none
-    share = F.sum("n").over(_by("lang")) / F.sum("n").over(_by())
+    # the main part of a language tag; und and the like say that the language is unknown
+    tag = F.regexp_extract(F.lower(F.trim(F.col(label))), r"^([^-_]*)", 1)
+    known = pairs.select(tag.alias("label"), F.col(prompt).alias("prompt")).dropna().filter(~F.col("label").isin("", *NO_LANGUAGE))
     counts: dict[str, Counter] = defaultdict(Counter)
-    for r in rows.withColumn("share", share).filter("share > 0.01 and n > 1").collect():
+    for r in known.mapInPandas(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).collect():
         counts[r.lang][r.gram] = r.n
     return LanguageModel(dict(counts))
 
 
-def _by(*cols: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(*cols)
-
-
 # ---- end of text ------------------------------------------------------------
 
 
@@ -173,22 +193,26 @@ def _page_line(s: str) -> bool:
     return bool(PAGE_FORM.fullmatch(s)) or _marked(s) or (_capital(s) and s[-1:].isdigit() and not re.search(r"[=+.:：]", s))
 
 
-def _end_hashes(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each place with ``order`` characters behind it: the hash of these, whether the text ends there, and the number of the text."""
+def _end_hashes(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each order and each place with as many characters behind it: the number of the order, the hashes of these, whether the text ends there, and the number of the text."""
     lens = np.fromiter((len(t) for t in texts), np.int64, len(texts))
     codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-    if len(codes) < order:
-        return np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64)
     stop = np.cumsum(lens)
     doc = np.repeat(np.arange(len(texts)), lens)
-    at = np.arange(order - 1, len(codes))
-    at = at[doc[at] == doc[at - order + 1]]
-    h = np.full(len(at), 1469598103934665603 + order, np.uint64)
+    first = np.repeat(stop - lens, lens)
+    at = np.arange(len(codes))
+    ends = at + 1 == stop[doc] if len(codes) else np.zeros(0, bool)
+    h = np.full(len(codes), 1469598103934665603, np.uint64)
+    wanted = {order: k for k, order in enumerate(ORDERS)}
     with np.errstate(over="ignore"):
-        for k in range(order):
-            h = (h ^ codes[at - k]) * np.uint64(1099511628211)
+        # a longer context goes on with the hash of the shorter one
+        for n in range(max(ORDERS)):
+            ok = at - n >= first
+            at, h, ends, doc, first = at[ok], h[ok], ends[ok], doc[ok], first[ok]
+            h = (h ^ codes[at - n]) * np.uint64(1099511628211)
             h = h ^ (h >> np.uint64(31))
-    return h.view(np.int64), at + 1 == stop[doc[at]], doc[at]
+            if n + 1 in wanted:
+                yield wanted[n + 1], (h ^ np.uint64(n + 1)).view(np.int64), ends, doc
 
 
 def _each_block(texts: list[str], size: int = 400_000) -> Iterator[list[str]]:
@@ -203,38 +227,48 @@ def _each_block(texts: list[str], size: int = 400_000) -> Iterator[list[str]]:
         yield block
 
 
-def end_shares(pairs: DataFrame, response: str) -> DataFrame:
-    """(hash, places, ends): of every context at which some response ends, how often it stands anywhere and at an end.
+def end_shares(judged: DataFrame) -> DataFrame:
+    """(id, share): of each unsure response the share of ends among all places of its longest context that stands at ``MIN_PLACES`` places or more, its own end and those of its copies left out; null if none does.
 
-    Which contexts are ends is first put into a bitmap of 2**22 bits, which bounds what
-    is broadcast at any size of the corpus; contexts outside it are not shuffled.
+    The contexts that are asked for are first put into a bitmap, whose size is bounded
+    whatever the corpus; places outside it are not shuffled.
     """
-    spark = pairs.sparkSession
-    known = pairs.select(F.col(response).alias("text")).filter(F.col("text") != "")
+    spark = judged.sparkSession
+    unsure = judged.filter("unsure").select("id", "body")
+    # a response and its copies are no evidence for each other; equal bodies are counted before they are joined
+    copies = unsure.groupBy(F.xxhash64("body").alias("of")).agg(F.count(F.lit(1)).alias("copies"))
+    alike = lookup_join(unsure.select("id", F.xxhash64("body").alias("of")).distinct(), copies, "of", "id").select("id", "copies")
 
-    def ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def asked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = [t for t in map(body_of, batch.text) if t]
-            for order in ORDERS:
-                h, end, _ = _end_hashes([t[-order:] for t in texts], order)
-                yield pd.DataFrame({"bit": np.unique(h[end] & ((1 << BITS) - 1)).astype(np.int32)})
-
-    bits = np.zeros(1 << BITS, bool)
-    bits[known.mapInPandas(ends, "bit int").distinct().toPandas().bit.to_numpy()] = True
+            tails = [t[-max(ORDERS) :] for t in batch.body]
+            ids = batch.id.to_numpy()
+            for k, h, end, doc in _end_hashes(tails):
+                yield pd.DataFrame({"id": ids[doc[end]], "k": np.full(int(end.sum()), k, np.int32), "hash": h[end]})
+
+    contexts = unsure.mapInPandas(asked, "id string, k int, hash long")
+    n = unsure.count()
+    power = min(MOST_BITS, max(LEAST_BITS, (16 * len(ORDERS) * max(n, 1) - 1).bit_length()))
+    mask = (1 << power) - 1
+    bits = np.zeros(1 << power, bool)
+    bits[contexts.select(F.col("hash").bitwiseAND(F.lit(mask)).cast("int").alias("bit")).distinct().toPandas().bit.to_numpy()] = True
     packed = spark.sparkContext.broadcast(np.packbits(bits))
 
     def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = np.unpackbits(packed.value).view(bool)
         for batch in batches:
-            for texts in _each_block([t for t in map(body_of, batch.text) if t]):
-                for order in ORDERS:
-                    h, end, _ = _end_hashes(texts, order)
-                    ok = bits[h & ((1 << BITS) - 1)]
+            for texts in _each_block(batch.body.tolist()):
+                for _, h, end, _ in _end_hashes(texts):
+                    ok = bits[h & mask]
                     u, inverse = np.unique(h[ok], return_inverse=True)
                     if len(u):
                         yield pd.DataFrame({"hash": u, "places": np.bincount(inverse, minlength=len(u)), "ends": np.bincount(inverse, weights=end[ok], minlength=len(u)).astype(np.int64)})
 
-    return known.mapInPandas(places, "hash long, places long, ends long").groupBy("hash").agg(F.sum("places").alias("places"), F.sum("ends").alias("ends")).filter("ends > 0")
+    seen = judged.filter("body != ''").select("body").mapInPandas(places, "hash long, places long, ends long").groupBy("hash").agg(F.sum("places").alias("places"), F.sum("ends").alias("ends"))
+    # a context that very many responses end with is one row after counting
+    looked = contexts.distinct().join(seen.filter(F.col("places") >= MIN_PLACES), "hash")
+    best = looked.join(alike, "id").groupBy("id").agg(F.min_by((F.col("ends") - F.col("copies")) / F.greatest(F.col("places") - F.col("copies"), F.lit(1)), "k").alias("share"))
+    return unsure.select("id").distinct().join(best, "id", "left")
 
 
 #: Marks with which a sentence ends, also before closing marks.
@@ -323,10 +357,10 @@ def is_copied(question: str, response: str) -> bool:
 
 # ---- operator ---------------------------------------------------------------
 
-SCHEMA = "id string, defect string, h0 long, h1 long, h2 long, h3 long, h4 long"
+SCHEMA = "id string, defect string, body string, unsure boolean"
 
 
-def pair_defects(pairs: DataFrame, key: str = "question_id", prompt: str = "question_body", response: str = "solution_body", label: str = "lang", detail: bool = False) -> DataFrame:
+def pair_defects(pairs: DataFrame, key: str = "question_id", prompt: str = "question_body", response: str = "solution_body", label: str = "lang") -> DataFrame:
     """(``key``, ``defect``) of every defective pair; one defect each.
 
     Defined cases: a null, blank or placeholder response is empty, whatever the prompt;
@@ -336,52 +370,40 @@ def pair_defects(pairs: DataFrame, key: str = "question_id", prompt: str = "ques
     """
     known = pairs.select(F.col(key).cast("string").alias("id"), F.col(prompt).alias("prompt"), F.col(response).alias("response"), F.col(label).alias("lang")).filter(F.col("id").isNotNull())
     model = fit_languages(known, "prompt", "lang")
-    shares = end_shares(known, "response")
+    sent = pairs.sparkSession.sparkContext.broadcast(model)
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = sent.value
         for batch in batches:
             rows = []
             for i, q, r in zip(batch.id, batch.prompt, batch.response):
-                defect, hashes = None, [None] * len(ORDERS)
                 if is_empty(r):
-                    defect = "empty"
-                elif is_refusal(r):
+                    rows.append((i, "empty", None, False))
+                    continue
+                t, defect = body_of(r), None
+                if is_refusal(r):
                     defect = "refusal"
                 elif q and is_copied(q, r):
                     defect = "copied"
                 elif q and _other_language(model, q, r):
                     defect = "language"
-                else:
-                    t = body_of(r)
-                    if complete_answer(t):
-                        continue
-                    if open_formula(t):
-                        defect = "truncated"
-                    elif SENTENCE_END.search(t):
-                        continue
-                    else:
-                        for k, order in enumerate(ORDERS):
-                            if len(t) >= order:
-                                hashes[k] = int(_end_hashes([t[-order:]], order)[0][0])
-                rows.append((i, defect, *hashes))
-            yield pd.DataFrame(rows, columns=["id", "defect", "h0", "h1", "h2", "h3", "h4"]).astype({f"h{k}": "Int64" for k in range(5)})
-
-    judged = known.select("id", "prompt", "response").mapInPandas(judge, SCHEMA)
+                elif not complete_answer(t) and open_formula(t):
+                    defect = "truncated"
+                # a text that closes with the mark of a sentence has ended its sentence
+                rows.append((i, defect, t, defect is None and bool(t) and not complete_answer(t) and not SENTENCE_END.search(t)))
+            yield pd.DataFrame(rows, columns=["id", "defect", "body", "unsure"])
+
+    judged = Scratch(pairs.sparkSession, "pairs").put(known.select("id", "prompt", "response").mapInPandas(judge, SCHEMA), "judged")
     sure = judged.filter(F.col("defect").isNotNull()).select("id", "defect")
-    # texts that end without a mark: the share of ends of their longest well-known context
-    context = judged.filter(F.col("defect").isNull()).select("id", F.posexplode(F.array(*[f"h{k}" for k in range(len(ORDERS))])).alias("k", "hash")).filter(F.col("hash").isNotNull())
-    looked = context.join(shares, "hash").filter(F.col("places") >= MIN_PLACES)
-    best = looked.groupBy("id").agg(F.min_by(F.col("ends") / F.col("places"), "k").alias("share"))
-    unsure = judged.filter(F.col("defect").isNull()).select("id").distinct().join(best, "id", "left")
-    cut = unsure.filter(F.coalesce("share", F.lit(0.0)) < END_SHARE).select("id", F.lit("truncated").alias("defect"))
+    cut = end_shares(judged).filter(F.coalesce("share", F.lit(0.0)) < END_SHARE).select("id", F.lit("truncated").alias("defect"))
     order = F.array_position(F.array(*map(F.lit, ("empty", "refusal", "copied", "language", "truncated"))), F.col("defect"))
     out = sure.union(cut).groupBy("id").agg(F.min_by("defect", order).alias("defect"))
     return out.withColumnRenamed("id", key)
 
 
 def _other_language(model: LanguageModel, question: str, response: str) -> bool:
-    mine, _ = model.best(question, PROMPT_LETTERS, PROMPT_CJK)
-    if mine is None:
+    mine, theirs = model.posteriors(question), model.posteriors(response)
+    if not mine or not theirs:
         return False
-    theirs, scores = model.best(response)
-    return theirs is not None and theirs != mine and scores[theirs] - scores[mine] > MARGIN
+    first, other = max(mine, key=mine.get), max(theirs, key=theirs.get)
+    return first != other and theirs[other] - theirs[first] > MARGIN

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from quireflow.llm import pairs as P
@@ -61,3 +63,33 @@ def test_operator(spark, get):
     df = spark.createDataFrame(rows + odd, "question_id string, question_body string, solution_body string, lang string, defect string")
     assert get(P.pair_defects(df)) == [("c1", "copied"), ("e1", "empty"), ("l1", "language"), ("l2", "language"), ("t1", "truncated"), ("t2", "truncated")]
     assert P.pair_defects(df.limit(0)).count() == 0
+
+
+def test_small_languages_and_strange_alphabets():
+    from collections import Counter
+
+    ru = "Найдите сумму членов последовательности, если первый член равен числу, а разность постоянна. "
+    model = P.LanguageModel({"en": P.grams(QUESTION["en"] % (1, 2) * 300), "zh": P.grams(QUESTION["zh"] % (1, 2) * 300), "ru": P.grams(ru), "xx": Counter({" q": 1})})
+    assert not P._other_language(model, ru, "Сумма членов находится по формуле: число равно значению.")
+    assert P._other_language(model, ru, SOLUTION["en"] % (1, 2)) and P._other_language(model, SOLUTION["en"] % (1, 2), "مجموع الحدود يساوي العدد المطلوب")
+    assert not P._other_language(model, QUESTION["zh"] % (1, 2), "b²+52b=90") and not P._other_language(model, "", "x") and not P._other_language(model, "计算：1+1", "")
+    assert max(model.posteriors("a" * 500 + " the probability of the red piece"), key=model.posteriors("a" * 500 + " the probability of the red piece").get) is not None
+
+
+def test_planted_truncation(spark):
+    """Sound responses cut at any place inside a sentence are found; the cut copies of one response do not make a context an end."""
+    r = random.Random(4)
+    rows, cut = [], set()
+    for i in range(600):
+        k = r.choice(("zh", "en"))
+        whole = SOLUTION[k] % (i % 40, 2 * (i % 40) + 3)
+        rows.append((f"w{i}", QUESTION[k] % (i % 40, i % 40 + 3), whole, k))
+        if i % 10 == 0:
+            at = r.randrange(8, len(whole) - 3)
+            for c in "ab":
+                rows.append((f"c{i}{c}", QUESTION[k] % (i % 40, i % 40 + 3), whole[:at], k))
+                cut.add(f"c{i}{c}")
+    df = spark.createDataFrame(rows, "question_id string, question_body string, solution_body string, lang string")
+    got = {r.question_id for r in P.pair_defects(df).filter("defect = 'truncated'").collect()}
+    ends = {i for i, _, t, _ in rows if i in cut and P.SENTENCE_END.search(t)}
+    assert got <= cut and len(got) >= 0.97 * len(cut - ends)
