@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..storage import Scratch
-from .skew import hot_keys, lookup_join
+from .skew import hot_side, lookup_join
 
 
 def _counted(scratch: Scratch, df: DataFrame, name: str) -> tuple[DataFrame, int]:
@@ -30,7 +30,7 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
     pairs = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).dropna()
     both = scratch.put(pairs.union(pairs.select("b", "a")).distinct(), "both")
     labels, at = scratch.put(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("label")), "l0"), 0
-    hot = hot_keys(both, "b")
+    hot = hot_side(both, "b")
     while True:
         # the label of each neighbour; neighbours with very many edges are spread by salt
         near = lookup_join(both, labels.withColumnRenamed("node", "b"), "b", "a", hot=hot).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("seen"))
@@ -88,14 +88,19 @@ def two_hops(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """(src, dst): distinct ends of paths of two edges."""
     a = edges.select(F.col(src).alias("src"), F.col(dst).alias("mid")).distinct()
     b = edges.select(F.col(src).alias("mid"), F.col(dst).alias("dst")).distinct()
-    return a.join(b, "mid").filter(F.col("src") != F.col("dst")).select("src", "dst").distinct()
+    return lookup_join(a, b, "mid", "src").filter(F.col("src") != F.col("dst")).select("src", "dst").distinct()
 
 
 def redundant_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """(src, dst): edges of an acyclic graph beside which a path of two or more edges leads to the same node."""
     e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).dropna().distinct()
-    further = e.join(reachable(e, e.select(F.col("dst").alias("seed")).distinct()).select(F.col("seed").alias("mid"), F.col("node").alias("end")), F.col("dst") == F.col("mid")).select(F.col("src"), F.col("end").alias("dst")).distinct()
-    return e.join(further, ["src", "dst"], "left_semi")
+    # only an edge from a node with several ways out to one with several ways in can be redundant, so paths are followed from such nodes alone
+    forks = e.groupBy("src").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("src")
+    meets = e.groupBy("dst").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("dst")
+    tested = e.join(forks, "src", "left_semi")
+    reached = reachable(e, tested.select(F.col("dst").alias("seed")).distinct()).join(meets.select(F.col("dst").alias("node")), "node", "left_semi")
+    further = tested.join(reached.select(F.col("seed").alias("mid"), F.col("node").alias("end")), F.col("dst") == F.col("mid")).select(F.col("src"), F.col("end").alias("dst")).distinct()
+    return tested.join(further, ["src", "dst"], "left_semi")
 
 
 def topological_levels(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .skew import lookup_join
+
 
 def link(left: DataFrame, right: DataFrame, left_key: str, right_key: str, strategies: list[tuple[str, Column, Column]]) -> DataFrame:
     """One row for each left record: (left_key, status, strategy, right_key).
@@ -32,7 +34,11 @@ def link(left: DataFrame, right: DataFrame, left_key: str, right_key: str, strat
     )
     all_left = left.select(F.col(left_key).alias("_l")).filter("_l is not null").distinct().join(per, "_l", "left")
     one = (F.col("_answers") == 1) & ~F.col("_many")
-    claimed = F.row_number().over(Window.partitionBy(F.when(one, F.col("_best._r")), F.coalesce(one, F.lit(False))).orderBy("_l")) > 1
+    # an answer belongs to the least left record that it alone decides; records without a decision take no part
+    claim = F.when(F.coalesce(one, F.lit(False)), F.col("_best._r"))
+    firsts = all_left.groupBy(claim.alias("_claim")).agg(F.min("_l").alias("_first")).filter("_claim is not null")
+    all_left = lookup_join(all_left.withColumn("_claim", claim), firsts, "_claim", "_l", "left")
+    claimed = F.col("_first") != F.col("_l")
     status = F.when(F.col("_answers") > 1, "conflicting-answer").when(one & claimed, "duplicate-answer").when(one, "matched").when(F.col("_many"), "duplicate-answer").otherwise("missing-answer")
     found = all_left.withColumn("status", status)
     hit = F.col("status") == "matched"

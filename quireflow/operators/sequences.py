@@ -57,7 +57,8 @@ def level_ranges(df: DataFrame, by: list[str], order: str, level: str, last: Col
     The next row of each level is looked up by one window for all levels together, so
     no row is joined with those behind it.
     """
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(1, Window.unboundedFollowing)
+    # from the end, so that the least of the rows behind is a running minimum and no frame is read again
+    w = Window.partitionBy(*by).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
     nexts = {k: F.min(F.when(F.col(level) == k, F.col(order))).over(w) for k in levels}
     end = F.lit(None).cast("long")
     for k in levels:

@@ -9,13 +9,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sequences import top_k
+from .skew import lookup_join
+
 
 def exact_classes(df: DataFrame, key: str, value: Column) -> DataFrame:
     """(key, class_id, copies): rows with equal values share the least key as class; null values are alone."""
     digest = F.coalesce(F.sha2(value, 256), F.concat(F.lit("null:"), F.col(key).cast("string")))
     rows = df.select(F.col(key), digest.alias("_d"))
     classes = rows.groupBy("_d").agg(F.min(key).alias("class_id"), F.count_distinct(key).alias("copies"))
-    return rows.distinct().join(classes, "_d").select(key, "class_id", "copies")
+    # a value that very many rows share is counted before the join
+    return lookup_join(rows.distinct(), classes, "_d", key).select(key, "class_id", "copies")
 
 
 def unique_lookup(df: DataFrame, key: str, value: Column) -> DataFrame:
@@ -37,7 +41,8 @@ def jaccard_join(df: DataFrame, key: str, items: str, least: float) -> DataFrame
     ranked = one.select("id", F.size("items").alias("size"), F.explode("items").alias("item")).join(rarity, "item").groupBy("id", "size").agg(F.array_sort(F.collect_list(F.struct("n", "item"))).alias("r"))
     prefix = ranked.select("id", "size", F.explode(F.slice("r", F.lit(1), F.col("size") - F.ceil(F.col("size") * least - 1e-9).cast("int") + 1)).alias("p")).select("id", "size", F.col("p.item").alias("item"))
     a, b = prefix.toDF("left_id", "left_size", "item"), prefix.toDF("right_id", "right_size", "item")
-    near = a.join(b, "item").filter((F.col("left_id") < F.col("right_id")) & (F.least("left_size", "right_size") >= F.greatest("left_size", "right_size") * least - 1e-9)).select("left_id", "right_id").distinct()
+    # items that very many prefixes share are joined in blocks
+    near = lookup_join(a, b, "item", "left_id").filter((F.col("left_id") < F.col("right_id")) & (F.least("left_size", "right_size") >= F.greatest("left_size", "right_size") * least - 1e-9)).select("left_id", "right_id").distinct()
     full = near.join(one.select(F.col("id").alias("left_id"), F.col("items").alias("_a")), "left_id").join(one.select(F.col("id").alias("right_id"), F.col("items").alias("_b")), "right_id")
     both = F.size(F.array_intersect("_a", "_b"))
     return full.withColumn("similarity", both / (F.size("_a") + F.size("_b") - both)).filter(F.col("similarity") >= least - 1e-9).select("left_id", "right_id", "similarity")
@@ -56,7 +61,7 @@ def containment_join(left: DataFrame, right: DataFrame, left_key: str, right_key
     common = b.groupBy("item").agg(F.count(F.lit(1)).alias("n")).join(a.select("item").distinct(), "item")
     ranked = a.join(common, "item", "left").groupBy(left_key).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "item"))).alias("r")).join(size, left_key)
     probe = ranked.select(left_key, F.explode(F.slice("r", F.lit(1), F.col("_size") - F.ceil(F.col("_size") * least - 1e-9).cast("int") + 1)).alias("p")).select(left_key, F.col("p.item").alias("item"))
-    near = probe.join(b, "item").select(left_key, right_key).distinct()
+    near = lookup_join(probe, b, "item", left_key).select(left_key, right_key).distinct()
     shared = near.join(a, left_key).join(b, [right_key, "item"]).groupBy(left_key, right_key).agg(F.count(F.lit(1)).alias("shared"))
     return shared.join(size, left_key).withColumn("containment", F.col("shared") / F.col("_size")).filter(F.col("containment") >= least - 1e-9).drop("_size")
 
@@ -65,45 +70,50 @@ def vector_neighbours(queries: DataFrame, base: DataFrame, key: str, vector: str
     """(query_id, neighbour_id, cosine, rank): the ``k`` nearest rows of ``base`` for each query, exactly.
 
     Queries are broadcast in blocks of ``block``, the base is read once for each block and never
-    shuffled as a whole: every task keeps the best ``k`` of its batch for each query, and only
-    these meet. Vectors of another length or without a norm are left out; ties go to the smaller id.
+    shuffled as a whole: every task keeps the best ``k`` of all its rows for each query, ties at
+    the border included, and only these meet. Vectors of another length than most queries or
+    without a norm are left out; ties go to the smaller id.
     """
     spark = base.sparkSession
     schema = f"query_id {queries.schema[key].dataType.simpleString()}, neighbour_id {base.schema[key].dataType.simpleString()}, cosine double"
     ids = queries.select(F.col(key).alias("id"), F.col(vector).alias("v")).dropna()
-    parts = max(1, -(-ids.count() // block))
+    widths = ids.groupBy(F.size("v").alias("w")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "w").collect()
+    if not widths:
+        return spark.createDataFrame([], schema + ", rank int")
+    width, parts = widths[0].w, max(1, -(-sum(r.n for r in widths) // block))
     out = None
     for part in range(parts):
-        rows = ids.filter(F.pmod(F.xxhash64("id"), F.lit(parts)) == part).toPandas()
+        rows = ids.filter((F.pmod(F.xxhash64("id"), F.lit(parts)) == part) & (F.size("v") == width)).toPandas()
         if not len(rows):
             continue
-        width = rows.v.str.len().mode()[0]
-        rows = rows[rows.v.str.len() == width]
         q = np.array(rows.v.tolist(), np.float64)
         norm = np.linalg.norm(q, axis=1)
         sent = spark.sparkContext.broadcast((rows.id.to_numpy()[norm > 0], (q[norm > 0].T / norm[norm > 0]).T))
 
-        def best(batches: Iterator[pd.DataFrame], sent=sent, width=width) -> Iterator[pd.DataFrame]:
+        def best(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
             qid, q = sent.value
+            kept = None
             for batch in batches:
-                batch = batch[batch.v.notna() & (batch.v.str.len() == width)]
-                if not len(batch):
-                    continue
-                b = np.array(batch.v.tolist(), np.float64)
+                b = np.array(batch.v.tolist(), np.float64).reshape(len(batch), width)
                 n = np.linalg.norm(b, axis=1)
                 b, bid = (b[n > 0].T / n[n > 0]).T, batch.id.to_numpy()[n > 0]
+                if not len(bid):
+                    continue
+                found = []
                 for start in range(0, len(qid), 512):
                     sim = np.round(q[start : start + 512] @ b.T, 9)
                     take = min(k + 1, len(bid))
-                    # ties at the border are kept, the ranking below decides among them
                     bound = -np.partition(-sim, take - 1, axis=1)[:, take - 1 : take]
                     i, j = np.nonzero(sim >= bound)
-                    yield pd.DataFrame({"query_id": qid[start + i], "neighbour_id": bid[j], "cosine": sim[i, j]})
-
-        one = base.select(F.col(key).alias("id"), F.col(vector).alias("v")).mapInPandas(best, schema)
+                    found.append(pd.DataFrame({"query_id": qid[start + i], "neighbour_id": bid[j], "cosine": sim[i, j]}))
+                kept = pd.concat(found if kept is None else [kept, *found], ignore_index=True)
+                # ties at the border are kept, the ranking below decides among them
+                kept = kept[kept.groupby("query_id").cosine.rank(method="min", ascending=False) <= k + 1]
+            if kept is not None:
+                yield kept
+
+        one = base.select(F.col(key).alias("id"), F.col(vector).alias("v")).filter(F.size("v") == width).mapInPandas(best, schema)
         out = one if out is None else out.union(one)
-    from .sequences import top_k
-
     if out is None:
         return spark.createDataFrame([], schema + ", rank int")
     return top_k(out.filter(F.col("query_id") != F.col("neighbour_id")), ["query_id"], [F.desc("cosine"), F.col("neighbour_id")], k)

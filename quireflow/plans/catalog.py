@@ -195,13 +195,14 @@ def unmatched_orders(spark, d):
 
 
 @query("""
-with c as (select 'label' as channel, least(a.concept_key, b.concept_key) l, greatest(a.concept_key, b.concept_key) r, 1.0 as score, true as hard from (select distinct concept_key, preferred_label, book_key from concepts) a join (select distinct concept_key, preferred_label, book_key from concepts) b on a.preferred_label = b.preferred_label and a.book_key = b.book_key and a.concept_key < b.concept_key
+with c as (select 'label' as channel, l, concept_key as r, 1.0 as score, true as hard from (select distinct concept_key, min(concept_key) over (partition by preferred_label, book_key) as l from concepts where preferred_label is not null and book_key is not null) where l < concept_key
  union all select 'decision', least(left_ref, right_ref), greatest(left_ref, right_ref), coalesce(confidence, 0), false from merge_decisions where left_ref <> right_ref)
 select l as left_id, r as right_id, list_sort(list(distinct channel)) as channels, max(score)::double as score, bool_or(hard) as hard from c group by 1, 2""")
 def candidate_pairs(spark, d):
-    """Candidate pairs of two channels, merged."""
-    c = table(spark, d, "concepts").select("concept_key", "preferred_label", "book_key").distinct()
-    same = c.toDF("l", "preferred_label", "book_key").join(c.toDF("r", "preferred_label", "book_key"), ["preferred_label", "book_key"]).filter("l < r").select("l", "r", F.lit("label").alias("channel"), F.lit(1.0).alias("score"), F.lit(True).alias("hard"))
+    """Candidate pairs of two channels, merged. Concepts of one label in a book are paired with the least of them, which links all of them without all pairs."""
+    c = table(spark, d, "concepts").select(F.col("concept_key").alias("r"), F.struct("preferred_label", "book_key").alias("at")).filter("at.preferred_label is not null and at.book_key is not null").distinct()
+    least = c.groupBy("at").agg(F.min("r").alias("l"))
+    same = lookup_join(c, least, "at", "r").filter("l < r").select("l", "r", F.lit("label").alias("channel"), F.lit(1.0).alias("score"), F.lit(True).alias("hard"))
     said = table(spark, d, "merge_decisions").select(F.col("left_ref").alias("l"), F.col("right_ref").alias("r"), F.lit("decision").alias("channel"), F.coalesce("confidence", F.lit(0.0)).alias("score"), F.lit(False).alias("hard"))
     return linkage.merge_candidates(same.union(said), "l", "r", "channel", "score", "hard")
 

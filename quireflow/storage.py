@@ -2,8 +2,9 @@
 
 Iterative operators write each round as Parquet under the shared folder that the
 cluster names in ``spark.checkpoint.dir`` and read it back; the folder of an
-earlier round is removed as soon as no later plan reads it. Only where the setting
-is absent (tests, notebooks on one machine) a folder of this machine is used.
+earlier round is removed as soon as no later plan reads it. Where the setting is
+absent a folder of this machine is used with a local master alone, as in tests; on a
+cluster that is an error, since executors could not read each other's files.
 """
 
 from __future__ import annotations
@@ -18,10 +19,12 @@ _LOCAL: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, or a temporary one of this machine where it is unset."""
+    """The folder in ``spark.checkpoint.dir``; with a local master a temporary one of this machine where that is unset."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if at:
         return at.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL:
         _LOCAL[app] = "file://" + tempfile.mkdtemp(prefix="quireflow-")
