@@ -24,11 +24,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import HOT_ROWS, lookup_join
+from ..storage import Scratch
+
 # Letters of other scripts that are drawn like a Latin one.
 LOOK_ALIKES = {
-    "A": "ΑА", "B": "ΒВ", "C": "ϹС", "E": "ΕЕ", "H": "ΗН", "I": "ΙІӀ", "J": "ͿЈ", "K": "ΚК", "M": "ΜМ", "N": "Ν", "O": "ΟО", "P": "ΡР",
-    "S": "Ѕ", "T": "ΤТ", "X": "ΧХ", "Y": "ΥУҮ", "Z": "Ζ", "a": "а", "c": "ϲс", "d": "ԁ", "e": "е", "h": "һ", "i": "і", "j": "ϳј",
-    "o": "οо", "p": "р", "q": "ԛ", "s": "ѕ", "w": "ԝ", "x": "х", "y": "уү",
+    "A": "ΑА", "B": "ΒВ", "C": "ϹС", "E": "ΕЕ", "G": "Ԍ", "H": "ΗН", "I": "ΙІӀ", "J": "ͿЈ", "K": "ΚК", "M": "ΜМ", "N": "Ν", "O": "ΟО", "P": "ΡР",
+    "Q": "Ԛ", "S": "Ѕ", "T": "ΤТ", "W": "Ԝ", "X": "ΧХ", "Y": "ΥУҮ", "Z": "Ζ", "a": "а", "c": "ϲс", "d": "ԁ", "e": "е", "h": "һ", "i": "і", "j": "ϳј", "l": "ӏ",
+    "o": "οо", "p": "р", "q": "ԛ", "s": "ѕ", "v": "νѵ", "w": "ԝ", "x": "х", "y": "уү",
 }
 # CJK radicals without a decomposition of their own, and the character drawn like them.
 RADICALS = dict(zip("⺁⺎⺝⺟⺠⺬⺮⻁⻄⻅⻆⻉⻋⻓⻔⻘⻙⻚⻛⻜⻝⻢⻣⻤⻥⻦⻧⻨⻩⻬⻮⻰⻳", "厂兀月母民示竹虎西见角贝车长门青韦页风飞食马骨鬼鱼鸟卤麦黄齐齿龙龟", strict=True))
@@ -177,6 +180,25 @@ def _digest(c: Column | str) -> Column:
     return F.unhex(F.sha2(F.col(c) if isinstance(c, str) else c, 256))
 
 
+def _forms(records: DataFrame, bigrams: dict[tuple[str, str], int] | None) -> DataFrame:
+    """(field, scope, id, raw, form): digests of every text and of its consistent form; written once, as both sides of a join read it."""
+    known = records.select("field", "scope", F.col("id").cast("string").alias("id"), "text").dropna()
+    bigrams = fit_bigrams(known, "text") if bigrams is None else bigrams
+    return Scratch(records.sparkSession, "forms").put(known.select("field", "scope", "id", _digest("text").alias("raw"), _digest(consistent_form(bigrams)(F.col("text"))).alias("form")).distinct(), "forms")
+
+
+def same_looking_classes(records: DataFrame, bigrams: dict[tuple[str, str], int] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(``field``, ``id``, ``class_id``, ``records``, ``spellings``): of each record the least id of those of its field and scope whose texts look the same, their number, and whether they differ in their characters (2) or not (1).
+
+    One row for each record whatever the size of a class; a class that very many records
+    share is counted before the join. Null field, scope, id or text has no row; repeated
+    rows count once; of different texts of one id each has a row.
+    """
+    forms = _forms(records, bigrams).withColumn("at", F.struct("field", "scope", "form"))
+    classes = forms.groupBy("at").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("records"), F.when(F.min("raw") == F.max("raw"), 1).otherwise(2).alias("spellings"))
+    return lookup_join(forms.select("field", "id", "at"), classes, "at", "id", hot_rows=hot_rows).select("field", "id", "class_id", "records", "spellings").distinct()
+
+
 def same_looking_pairs(records: DataFrame, bigrams: dict[tuple[str, str], int] | None = None, block: int = 2_000) -> DataFrame:
     """Pairs of records whose texts look the same but differ in their characters.
 
@@ -189,9 +211,7 @@ def same_looking_pairs(records: DataFrame, bigrams: dict[tuple[str, str], int] |
     Defined cases: null field, scope, id or text forms no pair; repeated rows count once;
     an id is not paired with itself.
     """
-    known = records.select("field", "scope", F.col("id").cast("string").alias("id"), "text").dropna()
-    bigrams = fit_bigrams(known, "text") if bigrams is None else bigrams
-    forms = known.select("field", "scope", "id", _digest("text").alias("raw"), _digest(consistent_form(bigrams)(F.col("text"))).alias("form")).distinct()
+    forms = _forms(records, bigrams)
     group = ["field", "scope", "form"]
     uneven = forms.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.min("raw").alias("a"), F.max("raw").alias("b")).filter("a != b").select(*group, F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     rows = forms.join(uneven, group)

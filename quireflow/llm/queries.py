@@ -9,10 +9,19 @@ from ..sources.tables import table
 from . import grouping, leaks, lookalikes, mixing, pairs, quality, scans
 
 
-def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+def _texts(spark: SparkSession, folder: str) -> DataFrame:
     questions = table(spark, folder, "questions").select(F.lit("question_body").alias("field"), F.lit("").alias("scope"), F.col("question_id").alias("id"), F.col("question_body").alias("text"))
     titles = table(spark, folder, "split_nodes").select(F.lit("title").alias("field"), F.col("book_key").alias("scope"), F.col("key").alias("id"), F.col("title").alias("text"))
-    return lookalikes.same_looking_pairs(questions.union(titles))
+    return questions.union(titles)
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return lookalikes.same_looking_pairs(_texts(spark, folder))
+
+
+def p1_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every question and title with the class of those that read the same."""
+    return lookalikes.same_looking_classes(_texts(spark, folder))
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -72,7 +81,7 @@ def p7_invariants(spark: SparkSession, folder: str) -> DataFrame:
     return report.select("source", (F.col("most_copies") <= F.col("max_repeats")).alias("caps_kept"), (F.abs(F.col("mixed_tokens") - F.col("goal_tokens")) <= F.col("largest_tokens")).alias("goal_met"))
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p4_repaired": p4_repaired, "p5_found": p5_found, "p6_found": p6_found, "p7_mix": p7_mix, "p7_shares": p7_shares, "p7_invariants": p7_invariants, "p8_found": p8_found, "p8_statistics": p8_statistics}
+QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes, "p3_found": p3_found, "p4_found": p4_found, "p4_repaired": p4_repaired, "p5_found": p5_found, "p6_found": p6_found, "p7_mix": p7_mix, "p7_shares": p7_shares, "p7_invariants": p7_invariants, "p8_found": p8_found, "p8_statistics": p8_statistics}
 
 SQL = {
     "p8_statistics": r"""

@@ -45,3 +45,17 @@ def test_empty_table_and_columns(spark):
     assert L.same_looking_pairs(empty).count() == 0
     out = L.normalize_texts(spark.createDataFrame([Row(a=1, consistent="x", text=None), Row(a=2, consistent="y", text="ａ")]), "text")
     assert sorted((r.a, r.consistent or "") for r in out.collect()) == [(1, ""), (2, "a")]
+
+
+def test_classes_hold_the_pairs(spark, get):
+    data = [("b", "1", f"q{i:02}", "ａbc" if i % 3 else "abc") for i in range(20)] + [("b", "1", "z", "abd"), ("b", "2", "y", "abc"), (None, "1", "x", "abc"), ("b", "1", "q00", "abc")]
+    df = spark.createDataFrame(data, "field string, scope string, id string, text string")
+    got = get(L.same_looking_classes(df, hot_rows=4))
+    assert got == sorted([("b", f"q{i:02}", "q00", 20, 2) for i in range(20)] + [("b", "z", "z", 1, 1), ("b", "y", "y", 1, 1)], key=repr)
+    assert L.same_looking_classes(df.limit(0)).count() == 0
+
+
+def test_letters_drawn_alike():
+    s = speller("a Query with very Good Words")
+    for a, b in (("Ԛuery", "Query"), ("Ԍood", "Good"), ("Ԝords", "Words"), ("νery", "very"), ("ѵery", "very")):
+        assert s.text(a) == s.text(b) == b
