@@ -21,8 +21,9 @@ def windowed_counts(stream: DataFrame, time: str, by: list[str], width: str, lat
 def keep_latest(path: str, keys: list[str], version: str):
     """A function for ``foreachBatch``: merges each batch into the table at ``path`` by key and version.
 
-    A batch that is run again gives the same table; versions are written side by side
-    and the pointer file is replaced last, so a reader always finds a whole table.
+    A batch that is run again gives the same table; versions are written side by side, and
+    one counts when its ``_SUCCESS`` file stands, so a reader always finds a whole table.
+    Each batch writes the whole table anew, so this is for tables that are small beside the stream.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:

@@ -170,3 +170,43 @@ def test_chains_and_reusable_stages(spark, get):
     s = spark.createDataFrame([("p", 1, "completed", "f1"), ("p", 2, "failed", "f1"), ("q", 1, "completed", "f2")], "k string, n int, status string, f string")
     w = spark.createDataFrame([("p", "f1"), ("q", "f2"), ("r", "f3")], "k string, f string")
     assert get(state.current(s, "k", ["n"], "status", "f", w)) == [("p", False), ("q", True), ("r", False)]
+
+
+def test_records_sections_and_links_with_hot_keys(spark, get):
+    from quireflow.operators import linkage, records, skew
+    from quireflow.operators import similarity as sim
+
+    lines = spark.createDataFrame([("d", 1, "intro"), ("d", 2, "1. a"), ("d", 3, "b"), ("d", 4, "2. c"), ("e", 1, None)], "doc string, line int, text string")
+    cut = records.segment(lines, ["doc"], "line", F.col("text").rlike(r"^\d+\."))
+    assert get(records.bodies(cut.filter("record > 0"), ["doc", "record"], "line", "text")) == [("d", 1, 2, 3, "1. a\nb"), ("d", 2, 4, 4, "2. c")]
+    assert get(records.inherit(lines, ["doc"], "line", F.when(F.col("text").rlike("^[0-9]"), F.col("text")), "head").select("doc", "line", "head").filter("head is not null")) == [("d", 2, "1. a"), ("d", 3, "1. a"), ("d", 4, "2. c")]
+    # a key of half the rows, spread, gives what a plain join gives
+    left = spark.createDataFrame([(i, "hot" if i % 2 else f"k{i}") for i in range(60)] + [(99, None)], "id int, k string")
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k4", 3), (None, 4)], "k string, v int")
+    for how in ("inner", "left"):
+        assert get(skew.lookup_join(left, right, "k", "id", how, hot_rows=5).select("id", "k", "v")) == get(left.join(right, "k", how).select("id", "k", "v"))
+    assert skew.hot_side(left, "k", 1000) is None and skew.hot_side(left, "k", 5) is not None
+    # an answer that several records decide belongs to the least of them; undecided ones stay apart
+    q = spark.createDataFrame([(f"q{i}", "x" if i < 3 else None) for i in range(9)], "q string, v string")
+    a = spark.createDataFrame([("a1", "x")], "a string, v string")
+    got = get(linkage.link(q, a, "q", "a", [("v", F.col("v"), F.col("v"))]))
+    assert got == [("q0", "matched", "v", "a1")] + [(f"q{i}", "duplicate-answer", None, None) for i in (1, 2)] + [(f"q{i}", "missing-answer", None, None) for i in range(3, 9)]
+    # neighbours over several batches of one task equal brute force
+    import random
+
+    rng = random.Random(3)
+    rows = [(i, [float(rng.randrange(-3, 4)) for _ in range(4)]) for i in range(120)] + [(500, [1.0]), (501, None), (502, [0.0] * 4)]
+    e = spark.createDataFrame(rows, "id int, v array<double>").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = get(sim.vector_neighbours(e.filter("id < 5"), e, "id", "v", 3).select("query_id", "neighbour_id", "rank"))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    norm = lambda v: sum(x * x for x in v) ** 0.5
+    want = []
+    ok = [(i, v) for i, v in rows if v and len(v) == 4 and norm(v)]
+    for i, v in ok[:5]:
+        if i < 5:
+            best = sorted((-round(sum(a * b for a, b in zip(v, w)) / norm(v) / norm(w), 9), j) for j, w in ok if j != i)[:3]
+            want += [(i, j, r) for r, (_, j) in enumerate(best, 1)]
+    assert got == sorted(want, key=repr)
