@@ -9,7 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sequences import top_k
+from ..storage import Scratch
+from .sequences import global_rank, top_k
 from .skew import lookup_join
 
 
@@ -51,19 +52,28 @@ def jaccard_join(df: DataFrame, key: str, items: str, least: float) -> DataFrame
 def containment_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, items: str, least: float) -> DataFrame:
     """(left_key, right_key, shared, containment): the part of each left set that stands in a right set, by an inverted index.
 
-    With c = ``least`` a left set of n items shares one of its rarest ``n - ceil(c * n) + 1`` items
-    with each set that contains that much of it, so only those are looked up; the shared items are
-    then counted on whole sets.
+    With c = ``least`` a left set of n items must have ``ceil(c * n)`` items that stand in any
+    right set at all; of these, a right set that contains enough shares one of the rarest, all but
+    ``ceil(c * n) - 1``, so only those are looked up, and the shared items are counted on whole
+    sets. Items that stand on one side alone take no further part. A small file may hold sets of
+    very many items, which no estimate by its size tells, so rows of items are never broadcast.
     """
-    a = left.select(left_key, F.explode(F.array_distinct(items)).alias("item"))
-    size = left.select(left_key, F.size(F.array_distinct(items)).alias("_size"))
-    b = right.select(right_key, F.explode(F.array_distinct(items)).alias("item"))
-    common = b.groupBy("item").agg(F.count(F.lit(1)).alias("n")).join(a.select("item").distinct(), "item")
-    ranked = a.join(common, "item", "left").groupBy(left_key).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "item"))).alias("r")).join(size, left_key)
-    probe = ranked.select(left_key, F.explode(F.slice("r", F.lit(1), F.col("_size") - F.ceil(F.col("_size") * least - 1e-9).cast("int") + 1)).alias("p")).select(left_key, F.col("p.item").alias("item"))
-    near = lookup_join(probe, b, "item", left_key).select(left_key, right_key).distinct()
-    shared = near.join(a, left_key).join(b, [right_key, "item"]).groupBy(left_key, right_key).agg(F.count(F.lit(1)).alias("shared"))
-    return shared.join(size, left_key).withColumn("containment", F.col("shared") / F.col("_size")).filter(F.col("containment") >= least - 1e-9).drop("_size")
+    scratch = Scratch(left.sparkSession, "containment")
+    sets = left.select(left_key, F.array_distinct(items).alias("_items"))
+    a = scratch.put(sets.select(left_key, F.size("_items").alias("_size"), F.explode("_items").alias("_item")), "left").hint("merge")
+    # numbers stand for items from here on
+    ids = global_rank(a.select("_item").distinct(), [F.col("_item")], "_id").hint("merge")
+    b = scratch.put(right.select(right_key, F.explode(F.array_distinct(items)).alias("_item")).join(ids, "_item").select(right_key, "_id"), "right").hint("merge")
+    common = b.groupBy("_id").agg(F.count(F.lit(1)).alias("_n")).hint("merge")
+    need = F.ceil(F.col("_size") * least - 1e-9).cast("int").alias("_need")
+    ranked = a.join(ids, "_item").join(common, "_id").groupBy(left_key, "_size").agg(F.array_sort(F.collect_list(F.struct("_n", "_id"))).alias("_r"))
+    ranked = scratch.put(ranked.select(left_key, "_size", need, F.col("_r._id").alias("_r")).filter(F.size("_r") >= F.col("_need")), "ranked").hint("merge")
+    probe = ranked.select(left_key, "_need", F.explode(F.slice("_r", F.lit(1), F.size("_r") - F.col("_need") + 1)).alias("_id"))
+    near = lookup_join(probe, b, "_id", left_key).select(left_key, right_key, "_need").distinct().hint("merge")
+    whole = b.groupBy(right_key).agg(F.collect_list("_id").alias("_s")).hint("merge")
+    full = near.join(whole, right_key).filter(F.size("_s") >= F.col("_need")).drop("_need").join(ranked, left_key)
+    shared = full.withColumn("shared", F.size(F.array_intersect("_r", "_s")).cast("long")).filter(F.col("shared") >= F.col("_need"))
+    return shared.select(left_key, right_key, "shared", (F.col("shared") / F.col("_size")).alias("containment"))
 
 
 def vector_neighbours(queries: DataFrame, base: DataFrame, key: str, vector: str, k: int, block: int = 4096) -> DataFrame:

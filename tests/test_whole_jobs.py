@@ -57,3 +57,13 @@ def test_long_sections_and_chinese_numerals(spark, get, tmp_path):
     assert get(QUERIES["range_cover"](spark, str(tmp_path))) == [("c1", 1), ("c2", 2), ("c3", 0), ("c4", 0)]
     save(spark, tmp_path, "questions", [("q1", "十二、"), ("q2", "３."), ("q3", None), ("q4", "第三题")], "question_id string, number string")
     assert get(QUERIES["question_numbers"](spark, str(tmp_path))) == [("q1", 12), ("q2", 3), ("q3", None), ("q4", 3)]
+
+
+def test_items_of_a_small_file_are_not_broadcast(spark, get, tmp_path):
+    text = "".join(chr(0x4E00 + i % 5000) for i in range(1500))
+    save(spark, tmp_path, "eval_items", [(f"i{k}", text[k:]) for k in range(10)], "item_id string, item_text string")
+    save(spark, tmp_path, "questions", [("q1", text[:1011]), ("q2", text[:500])], "question_id string, question_body string")
+    found = QUERIES["item_containment"](spark, str(tmp_path))
+    # the file is far below the limit for broadcasts, its sequences are far above
+    assert "Broadcast" not in found._jdf.queryExecution().sparkPlan().toString()
+    assert get(found) == [("q1", f"i{k}", 1000 - k, round((1000 - k) / (1489 - k), 6)) for k in range(10)]
