@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, StructType
 
 from ..storage import Scratch
 
@@ -84,21 +87,34 @@ def top_k(df: DataFrame, by: list[str], order: list[Column], k: int, rank: str =
 def pack(df: DataFrame, by: list[str], order: str, size: str, most: int, schema: str) -> DataFrame:
     """Greedy packing of consecutive rows into packets of at most ``most``; a larger row is a packet of its own.
 
-    The fold is sequential within a context; contexts run in parallel. ``schema`` is that of
-    ``df`` with ``packet int`` at the end.
+    The fold is sequential within a context; contexts run in parallel. Sorted rows pass in
+    Arrow batches whatever contexts they belong to, and only the last packet is held, so neither
+    many small contexts nor a huge one cost more than their rows. Rows alike in ``order`` follow
+    each other by their other columns. ``schema`` is that of ``df`` with ``packet int`` at the end.
     """
-
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(order, kind="stable")
-        packets, packet, held = [], 0, 0
-        for n in group[size].fillna(0):
-            if packet == 0 or held + n > most:
-                packet, held = packet + 1, 0
-            held += n
-            packets.append(packet)
-        return group.assign(packet=packets)
-
-    return df.groupBy(*by).applyInPandas(fold, schema)
+    fields = StructType.fromDDL(schema).fields[:-1]
+    ties = [F.col(c).asc_nulls_last() for c in (order, size, *(f.name for f in fields if f.name not in (*by, order, size) and not isinstance(f.dataType, MapType)))]
+    rows = df.select(*[F.col(f.name).cast(f.dataType) for f in fields])
+    # sorted by contexts, which a window tells apart (nulls and NaN included); what follows keeps the order
+    begun = rows.withColumn("_first", F.row_number().over(Window.partitionBy(*by).orderBy(*ties)) == 1)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packet, held = 0, 0
+        for batch in batches:
+            sizes = batch.column(size).to_pandas().fillna(0).tolist()
+            packets = []
+            for first, n in zip(batch.column("_first").to_pylist(), sizes):
+                if first:
+                    packet, held = 1, n
+                elif held + n > most:
+                    packet, held = packet + 1, n
+                else:
+                    held += n
+                packets.append(packet)
+            kept = [f.name for f in fields]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(packets, pa.int32())], [*kept, "packet"])
+
+    return begun.mapInArrow(fold, schema)
 
 
 def global_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:

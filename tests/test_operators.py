@@ -210,3 +210,20 @@ def test_records_sections_and_links_with_hot_keys(spark, get):
             best = sorted((-round(sum(a * b for a, b in zip(v, w)) / norm(v) / norm(w), 9), j) for j, w in ok if j != i)[:3]
             want += [(i, j, r) for r, (_, j) in enumerate(best, 1)]
     assert got == sorted(want, key=repr)
+
+
+def test_pack_passes_rows_in_batches_over_contexts(spark, get):
+    rng = random.Random(3)
+    rows = [(c, i, rng.choice([None, float("nan"), 1.0, 2.5, 4.0, 12.0])) for c in [None, *range(300)] for i in range(rng.randint(1, 9))]
+    df = spark.createDataFrame(rows, "c int, i int, s double").repartition(7)
+    expect, context = [], ()
+    for c, i, s in rows:
+        n = s if s and s == s else 0.0
+        if context != (c,) or held + n > 10:
+            packet, held = (packet + 1 if context == (c,) else 1), 0.0
+        context, held = (c,), held + n
+        expect.append((c, i, packet))
+    out = sequences.pack(df, ["c"], "i", "s", 10, "c int, i int, s double, packet int")
+    assert get(out.select("c", "i", "packet")) == sorted(expect, key=repr)
+    # one Python call for a batch, not one for each context
+    assert "FlatMapGroups" not in out._jdf.queryExecution().sparkPlan().toString()
