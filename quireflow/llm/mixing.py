@@ -1,14 +1,14 @@
 """Mixing sources to target shares of all tokens by entropy balancing.
 
 Every document gets a rate, its expected number of copies. Among all rates that meet
-the constraints, entropy balancing takes those nearest to the base rates (each source
-used alike throughout, at the size that the scarcest source allows): exponentially
+the constraints, entropy balancing takes those nearest to the base rates (all documents
+used alike whatever their source, at the size that the scarcest source allows): exponentially
 tilted rates, bounded by the source's cap, ``rate / (cap - rate) = base / (cap - base) *
 exp(sum of the multipliers of the document's constraints)``. The distance is counted by
 tokens, so that no document is preferred for being short or long. Constraints are the
 tokens of each source and, where a margin is given (such as the language), the tokens of each of
-its values; the two meet in the same documents, so the dual is solved jointly by damped
-Newton steps with a full Hessian. Rates depend on a document's source and margin alone: one
+its values; the two meet in the same documents, so the dual is then solved jointly by damped
+Newton steps with a full Hessian. Without a margin the dual has one multiplier for each source. Rates depend on a document's source and margin alone: one
 distributed aggregation gives the tokens of each such cell, on which all steps work.
 Rates become whole copies by systematic rounding, which keeps each source's tokens.
 """
@@ -33,6 +33,10 @@ CLASSES, PART_ROWS = 24, 100_000
 #: Offsets of the rounding that are compared.
 OFFSETS = 16
 TOLERANCE, MAX_STEPS = 1e-10, 100
+#: Bounds of the base rate in its cap; the multiplier of a source makes up for them.
+LEVELS = (0.001, 0.999)
+#: Greatest multiplier of a source; rates beyond it are 0 or the cap.
+REACH = 700.0
 #: How firmly the margin is met, in the share of its tokens by which a multiplier of one may miss it; sources are met exactly.
 SOFT = 1e-6
 
@@ -76,8 +80,9 @@ def solve_total(capacity: dict[str, float], share: dict[str, float]) -> tuple[fl
 def balance(cells: dict[tuple[str, str | None], float], goals: dict[str, float], caps: dict[str, int], margin: dict[str, float] | None = None) -> dict[tuple[str, str | None], float]:
     """The rate of each cell (source, margin value), from the tokens of the cells.
 
-    Minimises the entropy of the rates to their base by tokens under the constraints, by
-    Newton steps on the convex dual with halving where a step does not lower it.
+    Minimises the entropy of the rates to their base by tokens under the constraints: the
+    convex dual is solved for each source by itself, and from there, where a margin is given, by joint
+    Newton steps with halving where a step does not lower it.
     ``margin`` are the shares of all tokens that the margin's values should have; it is met as
     far as caps and sources allow.
     """
@@ -88,8 +93,11 @@ def balance(cells: dict[tuple[str, str | None], float], goals: dict[str, float],
         return {}
     tokens, cap = np.array([cells[k] for k in keys]), np.array([float(caps[s]) for s, _ in keys])
     have = {s: sum(cells[k] for k in keys if k[0] == s) for s in sources}
-    base = np.array([min(goals[s] / have[s] / max(caps[s], 1), 1.0) for s, _ in keys])
-    fixed = (base >= 1 - 1e-12) | (base <= 0)
+    used = np.array([min(goals[s] / have[s] / max(caps[s], 1), 1.0) for s, _ in keys])
+    fixed = (used >= 1 - 1e-12) | (used <= 0)  # sources used up or not at all leave no choice
+    # without targets all documents would be used alike; the multipliers of the sources lead from there to the goals
+    alike = sum(goals[s] for s in sources) / sum(have.values())
+    base = np.where(fixed, used, np.clip(alike / np.maximum(cap, 1), *LEVELS))
     bias = np.log(np.clip(base, 1e-300, None)) - np.log(np.clip(1 - base, 1e-300, None))
     member = np.array([[float(k[0] == s) for s in sources] + [float(k[1] == v) for v in values] for k in keys])
     total = sum(goals[s] for s in sources)
@@ -105,7 +113,15 @@ def balance(cells: dict[tuple[str, str | None], float], goals: dict[str, float],
         x = bias + member @ at
         return float((np.where(fixed, cap * base * x, cap * np.logaddexp(0, x)) * tokens).sum() - want @ at + 0.5 * (ridge * at * at).sum())
 
-    at = np.zeros(member.shape[1])
+    at, n = np.zeros(member.shape[1]), len(sources)
+    # the multiplier of each source alone, by halving: exact whatever the sizes; where a margin is given the joint steps start there
+    free = member[~fixed, :n].any(axis=0)
+    low, high = np.where(free, -REACH, 0.0), np.where(free, REACH, 0.0)
+    for _ in range(MAX_STEPS):
+        at[:n] = (low + high) / 2
+        more = (member[:, :n].T @ (rates(at) * tokens)) < want[:n]
+        low, high = np.where(more, at[:n], low), np.where(more, high, at[:n])
+    at[:n] = (low + high) / 2
     for _ in range(MAX_STEPS):
         r = rates(at)
         gradient = member.T @ (r * tokens) - want + ridge * at

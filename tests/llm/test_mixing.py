@@ -60,3 +60,16 @@ def test_margin_is_balanced_with_the_sources():
     # what cannot be met is met as far as possible
     out = M.balance({("a", "x"): 10.0}, {"a": 5.0}, {"a": 1}, {"x": 0.5, "y": 0.5})
     assert abs(out["a", "x"] - 0.5) < 1e-6
+
+
+def test_goals_are_reached_by_the_balance_alone(monkeypatch):
+    from quireflow.llm import mixing
+
+    cells = {("a", None): 9000.0, ("b", None): 4000.0, ("c", None): 700.0, ("d", None): 300.0}
+    caps, share = {"a": 1, "b": 2, "c": 3, "d": 4}, {"a": 0.5, "b": 0.2, "c": 0.2, "d": 0.1}
+    total, goals = mixing.solve_total({s: t * caps[s] for (s, _), t in cells.items()}, share)
+    reached = lambda: {s: r * cells[s, v] for (s, v), r in mixing.balance(cells, goals, caps).items()}
+    assert all(abs(t - goals[s]) <= 1e-8 * total for s, t in reached().items())
+    monkeypatch.setattr(mixing, "MAX_STEPS", 0)
+    missed = [s for s, t in reached().items() if abs(t - goals[s]) > 0.01 * total]
+    assert len(missed) >= 3
