@@ -11,8 +11,8 @@ Which operations are possible at a character comes from a noise model: what a sc
 makes of what. It starts from a short list of confusions and learns further ones from
 the texts themselves: characters that stand, rarely but in many different contexts, where
 one other character nearly always stands. There are no labelled scans, so the perceptron
-is trained on noise that this model puts into a bounded sample of unwrapped texts of the
-same corpus (``SAMPLE_TEXTS``); everything else runs over all texts, whole.
+is trained on noise that this model puts into the unwrapped texts of the same corpus, all of
+them: shards of texts train weights of their own, whose mean the editor has.
 
 Features are taken from folded characters, so that text typed with look-alikes is read
 the same; the repaired text consists of the characters as they were.
@@ -31,14 +31,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import Scratch
 from .lookalikes import CLASS_OF, PLAIN
 
-#: Unwrapped texts from which the training noise is made, and half as many texts of several lines.
-SAMPLE_TEXTS = 12_000
-#: Longest text that is taken into the training sample.
-SAMPLE_LENGTH = 20_000
+#: Characters of a piece in which a very long text is trained on.
+PIECE = 20_000
 #: Weights of the hashed features.
 BITS = 22
+#: Bits of the bitmap of contexts, and what spreads their usual characters over it.
+MARK_BITS, MARK = 26, 2654435761
+#: Characters of the texts from which one shard trains weights of its own; the editor has the mean of all shards.
+SHARD = 2_500_000
 #: Characters that are worked on at once; bounds the memory of a Python worker.
 BLOCK = 400_000
 
@@ -268,6 +271,13 @@ def _contexts(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h, ((cls == CJK) | (cls == LETTER)) & (CLASS[get[-1]] != BREAK) & (CLASS[get[1]] != BREAK)
 
 
+def _context_counts(texts: list[str]) -> pd.DataFrame:
+    """(context, c, n): how often each character stands in each context."""
+    codes, _ = _arrays([t for t in texts if t] or [""])
+    h, ok = _contexts(codes)
+    return pd.DataFrame({"context": h[ok].view(np.int64), "c": codes[ok].astype(np.int64)}).value_counts().reset_index(name="n")
+
+
 def learn_confusions(texts: list[str]) -> tuple[list[tuple[str, str]], tuple[np.ndarray, np.ndarray]]:
     """(misread, right) pairs: characters of which the first stands for the second as a scanner's error; and the contexts that have a usual character, sorted, with that.
 
@@ -276,25 +286,59 @@ def learn_confusions(texts: list[str]) -> tuple[list[tuple[str, str]], tuple[np.
     of it stands in a good part, everywhere with a small rate, and for no other usual
     character; natural alternatives are frequent in few contexts, or stand for many.
     """
-    codes, _ = _arrays([t for t in texts if t] or [""])
-    h, ok = _contexts(codes)
-    h = h[ok]
-    seen = pd.DataFrame({"context": h, "c": codes[ok]}).value_counts().reset_index(name="n")
+    seen = _context_counts(texts)
     if not len(seen):
         return [], (np.zeros(0, np.uint64), np.zeros(0, np.uint32))
     seen["all"] = seen.groupby("context").n.transform("sum")
     usual = seen.sort_values(["n", "c"], ascending=[False, True]).drop_duplicates("context")
     usual = usual[(usual["all"] >= MIN_TIMES) & (usual.n >= USUAL * usual["all"])]
-    of = usual.groupby("c").agg(contexts=("n", "size"), times=("n", "sum"))
+    of = usual.groupby("c").agg(contexts=("n", "size"), times=("n", "sum")).reset_index().rename(columns={"c": "right"})
     odd = seen.merge(usual[["context", "c"]].rename(columns={"c": "right"}), on="context")
     odd = odd[odd.c != odd.right].groupby(["c", "right"]).agg(k=("n", "size"), n=("n", "sum")).reset_index()
-    odd = odd.merge(of.reset_index().rename(columns={"c": "right"}), on="right")
-    odd["one"] = odd.n / odd.groupby("c").n.transform("sum")
+    at = np.argsort(usual.context.to_numpy().view(np.uint64))
+    return _confusions(odd.merge(of, on="right")), (usual.context.to_numpy().view(np.uint64)[at], usual.c.to_numpy().astype(np.uint32)[at])
+
+
+def _confusions(odd: pd.DataFrame) -> list[tuple[str, str]]:
+    """The pairs that are errors, of all pairs of an odd and a usual character: ``k`` contexts and ``n`` times with both, and ``contexts`` and ``times`` of the usual one."""
     back = set(zip(odd.right, odd.c))
-    rate = odd.n / odd.times
-    good = odd[(odd.k >= MIN_CONTEXTS) & (odd.k >= SPREAD * odd.contexts) & rate.between(*RATES) & (odd.one >= ONE)]
-    usual = usual.sort_values("context")
-    return sorted((chr(c), chr(r)) for c, r in zip(good.c, good.right) if (c, r) not in back), (usual.context.to_numpy(), usual.c.to_numpy())
+    one = odd.n / odd.groupby("c").n.transform("sum")
+    good = odd[(odd.k >= MIN_CONTEXTS) & (odd.k >= SPREAD * odd.contexts) & (odd.n / odd.times).between(*RATES) & (one >= ONE)]
+    return sorted((chr(c), chr(r)) for c, r in zip(good.c, good.right) if (c, r) not in back)
+
+
+def confusions_of(records: DataFrame, scratch: Scratch) -> tuple[list[tuple[str, str]], np.ndarray | None]:
+    """The same from all texts, by distributed counts; and a bitmap of the contexts (``_mark``) whose usual character some learned pair restores.
+
+    To the driver come the learned pairs (filtered by Spark) and the bitmap, of fixed size; two contexts that
+    share a bit can only leave a place out of the training.
+    """
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for a, b in _blocks(batch.text):
+                yield _context_counts(batch.text.iloc[a:b].tolist())
+
+    seen = records.select("text").filter(F.col("text") != "").mapInPandas(count, "context long, c long, n long").groupBy("context", "c").agg(F.sum("n").alias("n"))
+    best = F.max_by(F.col("c"), F.struct("n", -F.col("c")))
+    contexts = seen.groupBy("context").agg(F.sum("n").alias("all"), F.max("n").alias("most"), best.alias("right"), F.collect_list(F.struct("c", "n")).alias("has"))
+    usual = scratch.put(contexts.filter((F.col("all") >= MIN_TIMES) & (F.col("most") >= USUAL * F.col("all"))), "usual")
+    of = usual.groupBy("right").agg(F.count(F.lit(1)).alias("contexts"), F.sum("most").alias("times"))
+    odd = usual.select("right", F.explode("has").alias("h")).select("right", "h.*").filter("c != right").groupBy("c", "right").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
+    learned = _confusions(odd.join(of, "right").toPandas())
+    rights = [ord(r) for _, r in learned]
+    if not rights:
+        return [], None
+    marks = usual.filter(F.col("right").isin(rights)).select(F.expr(f"(context ^ (right * {MARK})) & {(1 << MARK_BITS) - 1}").alias("m"))
+    words = marks.groupBy(F.expr("shiftright(m, 5)").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(m & 31 as int))")).alias("bits")).toPandas()
+    bitmap = np.zeros(1 << (MARK_BITS - 5), np.uint32)
+    bitmap[words.w.to_numpy()] = words.bits.to_numpy().astype(np.uint32)
+    return learned, bitmap
+
+
+def _marked_context(h: np.ndarray, right: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    m = (h.view(np.int64) ^ (right.astype(np.int64) * MARK)) & ((1 << MARK_BITS) - 1)
+    return (bitmap[m >> 5] >> (m & 31).astype(np.uint32)) & 1 > 0
 
 
 def _raw(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -673,7 +717,7 @@ def _line_examples(clean: list[str], pages: list[str], rng: random.Random) -> tu
     return np.concatenate([of_kind(rows, kind) for kind in LINE_KINDS]), labels.T.ravel()
 
 
-def _char_examples(clean: list[str], pages: list[str], rng: random.Random, noise: NoiseModel, usual: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def _char_examples(clean: list[str], pages: list[str], rng: random.Random, noise: NoiseModel, usual: tuple[np.ndarray, np.ndarray] | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of possible edits in texts with made noise. Where a learned edit would restore the usual character of the context the text itself may be misread; unless made, such a place teaches nothing."""
     rows, labels = [], []
     texts, wrong = [], []
@@ -696,7 +740,11 @@ def _char_examples(clean: list[str], pages: list[str], rng: random.Random, noise
         start += len(x) + 1
     at, edit = noise.places(codes)
     right = np.isin(at * len(kind) + edit, np.fromiter(bad, np.int64, len(bad)))
-    if len(usual[0]):
+    if isinstance(usual, np.ndarray):
+        to = np.array([ord(e.right) if (e.bad, e.right) in noise.sure else 0 for e in noise.edits])[edit]
+        sure = right | (to == 0) | ~_marked_context(_contexts(codes)[0][at], to, usual)
+        at, edit, right = at[sure], edit[sure], right[sure]
+    elif len(usual[0]):
         h = _contexts(codes)[0][at]
         slot = np.minimum(np.searchsorted(usual[0], h), len(usual[0]) - 1)
         restores = np.array([ord(e.right) if (e.bad, e.right) in noise.sure else 0 for e in noise.edits])[edit] == usual[1][slot]
@@ -747,11 +795,15 @@ def _char_examples(clean: list[str], pages: list[str], rng: random.Random, noise
 
 def train_editor(clean: list[str], pages: list[str], seed: int = 11, learn: bool = True) -> Editor:
     """Train on noise made in ``clean`` (texts without line breaks) and on the surely clean lines of ``pages``; ``learn``: whether the noise model learns further confusions from both."""
-    rng = random.Random(seed)
     clean = [t for t in clean if t and "\n" not in t and "\r" not in t]
     pages = [p for p in pages if p and "\r" not in p and chr(SEP) not in p]
     learned, usual = learn_confusions([*clean, *pages])
     noise = NoiseModel(learned if learn else ())
+    return _fit(clean, pages, seed, noise, usual)
+
+
+def _fit(clean: list[str], pages: list[str], seed: int, noise: NoiseModel, usual: tuple[np.ndarray, np.ndarray] | np.ndarray) -> Editor:
+    rng = random.Random(seed)
     if not clean:
         return Editor(Averaged(), Averaged(), noise)
     chars = Averaged().fit(*_char_examples(clean, pages, rng, noise, usual))
@@ -759,18 +811,48 @@ def train_editor(clean: list[str], pages: list[str], seed: int = 11, learn: bool
     return Editor(chars, Averaged().fit(rows, labels) if len(rows) else Averaged(), noise)
 
 
-def sample_texts(records: DataFrame, n: int = SAMPLE_TEXTS, longest: int = SAMPLE_LENGTH) -> tuple[list[str], list[str]]:
-    """At most ``n`` texts without and ``n // 2`` with line breaks, whole, of those of at most ``longest`` characters, chosen by the hash of their keys; so what is collected is bounded."""
-    known = records.select("text", F.xxhash64("field", "id").alias("h"), F.col("text").contains("\n").alias("broken")).filter((F.col("text") != "") & (F.length("text") <= longest))
-    total = {r.broken: r.n for r in known.groupBy("broken").agg(F.count(F.lit(1)).alias("n")).collect()}
-
-    def pick(broken: bool, k: int) -> list[str]:
-        # the hashes below this bound hold about three times as many rows as wanted, so that no task sends more, however many there are
-        share = min(1.0, 3 * k / max(1, total.get(broken, 0)) + 1e-6)
-        rows = known.filter((F.col("broken") == broken) & (F.pmod("h", F.lit(1 << 40)) <= int(share * (1 << 40))))
-        return [r.text for r in rows.orderBy("h", "text").limit(k).select("text").collect()]
-
-    return pick(False, n), pick(True, n // 2)
+def _pieces(text: str) -> list[str]:
+    """A text whole, or where it is very long in pieces, at line breaks where it has any; a line without one is cut by length."""
+    if len(text) <= PIECE:
+        return [text]
+    out, size = [[]], 0
+    for line in text.split("\n"):
+        for x in [line[i : i + PIECE] for i in range(0, len(line), PIECE)] or [""]:
+            if size + len(x) > PIECE and out[-1]:
+                out.append([])
+                size = 0
+            out[-1].append(x)
+            size += len(x) + 1
+    return ["\n".join(x) for x in out]
+
+
+def train_on_all(records: DataFrame, seed: int = 11) -> Editor:
+    """The editor trained on all texts: confusions from the counts of all, and the mean of the weights that shards of about ``SHARD`` characters train, to one of which each text belongs by its hash."""
+    spark, scratch = records.sparkSession, Scratch(records.sparkSession, "scans")
+    texts = records.select("text", F.xxhash64("field", "id", "text").alias("h")).filter(F.col("text") != "")
+    learned, bitmap = confusions_of(records, scratch)
+    noise = NoiseModel(learned)
+    sent = spark.sparkContext.broadcast((learned, bitmap))
+    shards = max(1, -(-int(texts.agg(F.sum(F.length("text"))).first()[0] or 0) // SHARD))
+
+    def train(group: pd.DataFrame) -> pd.DataFrame:
+        learned, bitmap = sent.value
+        pieces = [x for t in sorted(group.text) for x in _pieces(t.replace("\r\n", "\n").replace("\r", "\n").replace(chr(SEP), " "))]
+        clean, pages = [x for x in pieces if x and "\n" not in x], [x for x in pieces if "\n" in x]
+        usual = (np.zeros(0, np.uint64), np.zeros(0, np.uint32)) if bitmap is None else bitmap
+        editor = _fit(clean, pages, seed, NoiseModel(learned), usual)
+        out = []
+        for model, weights in enumerate((editor.chars.w, editor.lines.w)):
+            at = np.flatnonzero(weights)
+            out.append(pd.DataFrame({"at": at + (model << BITS), "w": weights[at].astype(float)}))
+        return pd.concat(out)
+
+    sharded = texts.withColumn("shard", F.pmod("h", F.lit(shards))).drop("h")
+    # at most one row for each weight of the two models of fixed size
+    mean = sharded.groupBy("shard").applyInPandas(train, "at long, w double").groupBy("at").agg((F.sum("w") / shards).cast("float").alias("w")).toPandas()
+    weights = np.zeros(2 << BITS, np.float32)
+    weights[mean["at"].to_numpy()] = mean.w.to_numpy()
+    return Editor(Averaged(weights[: 1 << BITS]), Averaged(weights[1 << BITS :]), noise)
 
 
 def _blocks(texts: pd.Series) -> Iterator[tuple[int, int]]:
@@ -790,7 +872,7 @@ def scan_noise(records: DataFrame, editor: Editor | None = None) -> DataFrame:
     Defined cases: null or empty texts have no noise; repeated rows count once; texts
     are taken whole; a text of one line has no furniture. An empty table gives an empty result.
     """
-    editor = editor or train_editor(*sample_texts(records))
+    editor = editor or train_on_all(records)
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -808,7 +890,7 @@ def scan_noise(records: DataFrame, editor: Editor | None = None) -> DataFrame:
 
 def repair_texts(records: DataFrame, editor: Editor | None = None) -> DataFrame:
     """``records`` with ``repaired`` (continuous paragraphs) and ``noise`` (sorted kinds found). Null stays null, with null noise."""
-    editor = editor or train_editor(*sample_texts(records))
+    editor = editor or train_on_all(records)
 
     @F.pandas_udf("struct<repaired: string, noise: array<string>>")
     def run(texts: pd.Series) -> pd.DataFrame:

@@ -93,3 +93,30 @@ def test_insert_and_delete(editor):
     bad = t.replace("reader", "rea`der").replace("treat", "freat")
     fixed, found = editor.edit([bad])
     assert fixed == [t] and found["misread"] == {0}
+
+
+def test_the_editor_is_trained_on_all_texts(spark):
+    """Confusions of texts too long for the former sample are learned, as they are from all texts at once, and repaired."""
+    from quireflow.storage import Scratch
+
+    rng, made = random.Random(3), []
+    for t in texts(3000, 21):
+        made.append("".join("狠" if c == "项" and rng.random() < 0.03 else c for c in t))
+    long = [" ".join(made[i : i + 600]) for i in range(0, 3000, 600)]
+    assert min(map(len, long)) > 20_000
+    df = spark.createDataFrame([("f", str(i), t) for i, t in enumerate(long)], "field string, id string, text string")
+    learned, bitmap = S.confusions_of(df, Scratch(spark, "test"))
+    expect, usual = S.learn_confusions(long)
+    assert ("狠", "项") in learned and learned == expect
+    of = usual[1] == ord("项")
+    assert of.any() and S._marked_context(usual[0][of], usual[1][of], bitmap).all()
+    editor = S.train_on_all(df)
+    fixed, noise = editor.edit(["已知等差数列的首项为35，公差为8，求第8狠以及前8项的和。"])
+    assert noise["misread"] == {0} and "狠" not in fixed[0]
+
+
+def test_pieces_hold_all_of_a_text():
+    rng = random.Random(8)
+    for text in ("a" * 50_000, "\n".join("x" * rng.randint(0, 900) for _ in range(200)), "y" * 30_000 + "\n" + "z" * 30_000):
+        pieces = S._pieces(text)
+        assert max(map(len, pieces)) <= S.PIECE + 1 and "".join(pieces).replace("\n", "") == text.replace("\n", "")
