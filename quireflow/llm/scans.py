@@ -25,6 +25,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -44,6 +45,8 @@ MARK_BITS, MARK = 26, 2654435761
 SHARD = 2_500_000
 #: Characters that are worked on at once; bounds the memory of a Python worker.
 BLOCK = 400_000
+#: The same where contexts are counted; the more at once, the fewer rows of counts.
+COUNTED = 1_000_000
 
 # Chinese characters and their misreadings, with which the noise model starts.
 MISREAD_CJK = dict(zip("为数求于的每比面大设角再未天已直", "力敎术干旳毎此靣犬没甬冉末夭己宜", strict=True))
@@ -115,21 +118,42 @@ class Averaged:
         self.w = np.zeros(1 << BITS, np.float32) if weights is None else weights
 
     def fit(self, rows: np.ndarray, labels: np.ndarray, epochs: int = 8, batch: int = 32, seed: int = 7) -> Averaged:
-        """Labels are 1 for the right operation of a place and -1 for the others; updates are made in small batches."""
-        w, total, step = np.zeros(1 << BITS), np.zeros(1 << BITS), 1
+        """Labels are 1 for the right operation of a place and -1 for the others; updates are made in small batches.
+
+        A batch with all rows on the right side changes nothing, so several batches are scored at once and those
+        before the first with a row on the wrong side are done. Weights are whole numbers until the end, so their
+        sums are the same in any order.
+        """
+        used = np.zeros(1 << BITS, bool)
+        used[rows.ravel()] = True
+        used = np.flatnonzero(used)
+        number = np.zeros(1 << BITS, np.int32)
+        number[used] = np.arange(len(used))
+        columns = number[rows].astype(np.int64)  # only weights that occur
+        w, total, step, ones = np.zeros(len(used)), np.zeros(len(used)), 1, np.ones(rows.shape[1])
         order = np.random.default_rng(seed)
         for _ in range(epochs):
             mixed = order.permutation(len(rows))
-            for i in range(0, len(mixed), batch):
-                at = mixed[i : i + batch]
+            own, right, i, ahead, changes = columns[mixed], labels[mixed].astype(float), 0, batch, []
+            while i < len(mixed):
                 # a margin of one keeps rare contexts on the right side
-                off = at[labels[at] * w[rows[at]].sum(axis=1) <= 1]
-                if len(off):
-                    flat, change = rows[off].ravel(), np.repeat(labels[off], rows.shape[1])
-                    np.add.at(w, flat, change)
-                    np.add.at(total, flat, step * change)
+                off = (right[i : i + ahead] * (w.take(own[i : i + ahead]) @ ones) <= 1).nonzero()[0]
+                if not len(off):
+                    step += -(-min(ahead, len(mixed) - i) // batch)
+                    i, ahead = i + ahead, min(2 * ahead, 32 * batch)
+                    continue
+                sound = int(off[0]) // batch
+                off = i + off[: off.searchsorted((sound + 1) * batch)]
+                step += sound
+                flat, change = own[off].ravel(), right[off].repeat(len(ones))
+                np.add.at(w, flat, change)
+                changes.append((flat, step * change))
                 step += 1
-        self.w = (w - total / step).astype(np.float32)
+                i, ahead = i + (sound + 1) * batch, min(ahead, 2 * (sound + 1) * batch)
+            if changes:
+                np.add.at(total, *map(np.concatenate, zip(*changes)))
+        self.w = np.zeros(1 << BITS, np.float32)
+        self.w[used] = w - total / step
         return self
 
     def score(self, rows: np.ndarray) -> np.ndarray:
@@ -140,8 +164,9 @@ def _hash(*parts: np.ndarray | int) -> np.ndarray:
     h = np.uint64(1469598103934665603)
     with np.errstate(over="ignore"):
         for p in parts:
-            h = (h ^ np.asarray(p).astype(np.uint64)) * np.uint64(1099511628211)
-            h = h ^ (h >> np.uint64(29))
+            h = h ^ np.asarray(p).astype(np.uint64, copy=False)
+            h *= np.uint64(1099511628211)
+            h ^= h >> np.uint64(29)
         return ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
@@ -161,7 +186,8 @@ def around(codes: np.ndarray, at: np.ndarray, kind: np.ndarray | int, after: np.
     for side in (-1, 1):  # nothing is seen beyond the end of a text or paragraph
         for k in range(2, 5):
             get[side * k] = np.where(CLASS[get[side * (k - 1)]] == BREAK, np.uint32(SEP), get[side * k])
-    me = codes[at]
+    get = {k: x.astype(np.uint64) for k, x in get.items()}
+    me, kind = codes[at].astype(np.uint64), np.asarray(kind).astype(np.uint64)
     return np.stack([_hash(kind, n, me, *(get[k] for k in w)) for n, w in enumerate(WINDOWS)], axis=1)
 
 
@@ -205,7 +231,9 @@ class NoiseModel:
         self.made: dict[str, list[Edit]] = defaultdict(list)
         for e in self.edits:
             self.made[e.right].append(e)
-        self.rights = re.compile("|".join(map(re.escape, sorted((r for r in self.made if r), key=lambda r: (-len(r), r)))))
+        # the longer ones first
+        several, single = sorted((r for r in self.made if len(r) > 1), key=lambda r: (-len(r), r)), "".join(sorted(r for r in self.made if len(r) == 1))
+        self.rights = re.compile("|".join([*map(re.escape, several), f"[{re.escape(single)}]"]))
 
     def places(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place, number of the edit) of all edits that are possible, by place."""
@@ -218,7 +246,8 @@ class NoiseModel:
         edit = flat[np.repeat(first[slot[at]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)] if len(at) else np.zeros(0, np.int64)
         at = np.repeat(at, n)
         for a, b, k in self.double:
-            both = np.flatnonzero((codes[:-1] == a) & (codes[1:] == b))
+            both = np.flatnonzero(codes[:-1] == a)
+            both = both[codes[both + 1] == b]
             at, edit = np.concatenate([at, both]), np.concatenate([edit, np.full(len(both), k)])
         order = np.lexsort((edit, at))
         at, edit = at[order], edit[order]
@@ -234,9 +263,9 @@ class NoiseModel:
         """The text with misreadings, and their places in it."""
         if not rate:
             return text, []
-        chosen = []
+        chosen, draw = [], rng.random
         for m in self.rights.finditer(text):
-            if rng.random() < rate:
+            if draw() < rate:
                 e = rng.choice(self.made[m[0]])
                 near = text[max(0, m.start() - 1) : m.start()] + text[m.end() : m.end() + 1]
                 if e.where != "word" or (any(x.isalpha() for x in near) and all(x.isalpha() and x.isascii() or x in " ,.'" for x in near)):
@@ -255,27 +284,31 @@ class NoiseModel:
         return "".join([*out, text[at:]]), done
 
 
-def _contexts(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of the three characters on both sides of each place, and whether the place is a letter between others."""
-    cls, n = CLASS[codes], len(codes)
-    same = np.concatenate([np.full(3, SEP, np.uint32), np.where(cls == DIGIT, np.uint32(48), codes), np.full(3, SEP, np.uint32)])
-    get = {k: same[3 + k : 3 + k + n] for k in (-3, -2, -1, 1, 2, 3)}
+def _contexts(codes: np.ndarray, at: np.ndarray | slice = slice(None)) -> np.ndarray:
+    """The hash of the three characters on both sides of each place."""
+    n = len(codes)
+    same = np.concatenate([np.full(3, SEP, np.uint32), np.where(CLASS[codes] == DIGIT, np.uint32(48), codes), np.full(3, SEP, np.uint32)])
+    get = {k: same[3 + k : 3 + k + n][at] for k in (-3, -2, -1, 1, 2, 3)}
     for side in (-1, 1):
         for k in (2, 3):
             get[side * k] = np.where(CLASS[get[side * (k - 1)]] == BREAK, np.uint32(SEP), get[side * k])
-    h = np.zeros(n, np.uint64)
+    h = np.zeros(len(get[1]), np.uint64)
     with np.errstate(over="ignore"):
         for k in (-3, -2, -1, 1, 2, 3):
             h = (h ^ get[k]) * np.uint64(1099511628211)
             h ^= h >> np.uint64(29)
-    return h, ((cls == CJK) | (cls == LETTER)) & (CLASS[get[-1]] != BREAK) & (CLASS[get[1]] != BREAK)
+    return h
 
 
 def _context_counts(texts: list[str]) -> pd.DataFrame:
-    """(context, c, n): how often each character stands in each context."""
+    """(context, c, n): how often each letter between others stands in each context."""
     codes, _ = _arrays([t for t in texts if t] or [""])
-    h, ok = _contexts(codes)
-    return pd.DataFrame({"context": h[ok].view(np.int64), "c": codes[ok].astype(np.int64)}).value_counts().reset_index(name="n")
+    cls = np.concatenate([[BREAK], CLASS[codes], [BREAK]])
+    ok = ((cls[1:-1] == CJK) | (cls[1:-1] == LETTER)) & (cls[:-2] != BREAK) & (cls[2:] != BREAK)
+    number, contexts = pd.factorize(_contexts(codes)[ok])
+    both = np.sort((number << 21) | codes[ok])
+    first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])[: len(both)])
+    return pd.DataFrame({"context": contexts[both[first] >> 21].view(np.int64), "c": both[first] & ((1 << 21) - 1), "n": np.diff(np.append(first, len(both)))})
 
 
 def learn_confusions(texts: list[str]) -> tuple[list[tuple[str, str]], tuple[np.ndarray, np.ndarray]]:
@@ -316,15 +349,18 @@ def confusions_of(records: DataFrame, scratch: Scratch) -> tuple[list[tuple[str,
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for a, b in _blocks(batch.text):
+            for a, b in _blocks(batch.text, COUNTED):
                 yield _context_counts(batch.text.iloc[a:b].tolist())
 
     seen = records.select("text").filter(F.col("text") != "").mapInPandas(count, "context long, c long, n long").groupBy("context", "c").agg(F.sum("n").alias("n"))
-    best = F.max_by(F.col("c"), F.struct("n", -F.col("c")))
-    contexts = seen.groupBy("context").agg(F.sum("n").alias("all"), F.max("n").alias("most"), best.alias("right"), F.collect_list(F.struct("c", "n")).alias("has"))
+    # a count and a character in one number: the largest is that of the most frequent character, the first of several
+    last = (1 << 21) - 1
+    both = seen.select("context", "n", ((F.col("n") * (last + 1)) + (last - F.col("c"))).alias("x"))
+    contexts = both.groupBy("context").agg(F.sum("n").alias("all"), F.max("x").alias("best"), F.collect_list("x").alias("has"))
+    contexts = contexts.select("context", "all", F.shiftright("best", 21).alias("most"), (last - F.col("best").bitwiseAND(last)).alias("right"), "has")
     usual = scratch.put(contexts.filter((F.col("all") >= MIN_TIMES) & (F.col("most") >= USUAL * F.col("all"))), "usual")
     of = usual.groupBy("right").agg(F.count(F.lit(1)).alias("contexts"), F.sum("most").alias("times"))
-    odd = usual.select("right", F.explode("has").alias("h")).select("right", "h.*").filter("c != right").groupBy("c", "right").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
+    odd = usual.select("right", F.explode("has").alias("x")).select("right", (last - F.col("x").bitwiseAND(last)).alias("c"), F.shiftright("x", 21).alias("n")).filter("c != right").groupBy("c", "right").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
     learned = _confusions(odd.join(of, "right").toPandas())
     rights = [ord(r) for _, r in learned]
     if not rights:
@@ -383,19 +419,46 @@ def hash_text(s: str) -> int:
     return ((h * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF) >> (64 - BITS)
 
 
-_SEEN: dict[tuple, int] = {}
+def hash_texts(texts: list[str]) -> np.ndarray:
+    """``hash_text`` of many short texts at once."""
+    data = [t.encode("utf-8", "surrogatepass") for t in texts]
+    size = np.fromiter(map(len, data), np.int64, len(data))
+    width, longest = int(size.max(initial=1)), np.argsort(-size)
+    codes = np.ascontiguousarray(np.array(data, f"S{width}").view(np.uint8).reshape(len(data), width)[longest].T)
+    h = np.full(len(data), 1469598103934665603, np.uint64)
+    with np.errstate(over="ignore"):
+        for column, n in zip(codes, len(data) - np.searchsorted(np.sort(size), np.arange(width), "right")):
+            h[:n] ^= column[:n]
+            h[:n] *= np.uint64(1099511628211)
+        out = np.empty(len(data), np.int64)
+        out[longest] = (h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)
+    return out
 
 
-def _hc(*parts: object) -> int:
-    out = _SEEN.get(parts)
-    if out is None:
-        if len(_SEEN) > 500_000:
-            _SEEN.clear()
-        out = _SEEN[parts] = _h(*parts)
-    return out
+class _Seen(dict):
+    """What was asked, with the hashes that ``of`` gives for it."""
+
+    def __init__(self, of) -> None:
+        self.of = of
+
+    def __missing__(self, asked: str | tuple) -> int | list[int]:
+        if len(self) > 500_000:
+            self.clear()
+        out = self[asked] = self.of(asked)
+        return out
+
+
+def _shape(asked: tuple) -> list[int]:
+    kind, page, ends, goes, bare, place, size, gap, words, beside = asked
+    return [_h("kind", kind, page), _h("ends", kind, ends, bare), _h("goes", kind, goes, bare), _h("place", kind, place, bare), _h("size", kind, size), _h("all", kind, ends, goes, bare), _h("gap", kind, gap, bare), _h("both", ends, goes, place, bare, page), _h("words", kind, words), _h("page", page, beside)]
+
 
+_GRAMS, _SHAPES = _Seen(lambda x: _h("g", x)), _Seen(_shape)
+_HEADS, _TAILS = _Seen(lambda x: [_h("head", x[:1]), _h("head2", x[:2]), _h("head3", x)]), _Seen(lambda x: [_h("tail", x[-1:]), _h("tail2", x[-2:]), _h("tail3", x)])
+_HAN, _DIGITS, _ZEROS = re.compile("[一-鿿]"), re.compile(r"\d"), re.compile("0+")
 
 MAX_LINE_FEATURES = 48
+THREES = [slice(i, i + 3) for i in range(MAX_LINE_FEATURES)]
 #: What a line may be beside text: a running header, a page number, a header with a page number; and what tells their weights apart.
 LINE_KINDS = {"header": 0x1B873593, "page": 0x2545F491, "both": 0x3C6EF372}
 
@@ -404,13 +467,13 @@ def of_kind(rows: np.ndarray, kind: str) -> np.ndarray:
     return (rows ^ LINE_KINDS[kind]) & ((1 << BITS) - 1)
 
 
-def line_features(line: str, before: str, after: str, first: bool, last: bool, width: int, gap: bool) -> list[int]:
-    """Features of one line: its shape, its characters, and its place between the lines around it."""
-    s = re.sub(r"\d", "0", line)
-    compact = re.sub(r"[\s　]+", "", s)
-    short = re.sub(r"0+", "0", compact)
-    words = [w for w in re.split(r"[\s　]+", s) if w]
-    numeric = not any(c.isalpha() for c in compact) and "0" in compact
+def line_features(line: str, before: str, after: str, first: bool, last: bool, width: int, gap: bool) -> tuple[list[int], str]:
+    """Features of one line: its shape, its characters, and its place between the lines around it. The second is left open for the hash of the text that is returned."""
+    s = _DIGITS.sub("0", line)
+    words = s.split()
+    compact = "".join(words)
+    short = _ZEROS.sub("0", compact)
+    numeric = "0" in compact and not any(c.isalpha() for c in compact)
     spaced = len(words) > 3 and max(map(len, words)) <= 2
     end = before[-1:]
     ends = "none" if not before else "colon" if end in "：:" else "end" if end in "。.！？!?．" else "open"
@@ -420,10 +483,16 @@ def line_features(line: str, before: str, after: str, first: bool, last: bool, w
     kind = ("n" if numeric else "s" if spaced else "u" if compact.isupper() else "t" if words and all(not w[:1].islower() for w in words) else "x")
     page = bool(PAGE_FORM.fullmatch(line))
     bare = compact.isdigit()
-    out = [_hc("kind", kind, page), _hc("short", short[:24]), _hc("ends", kind, ends, bare), _hc("goes", kind, goes, bare), _hc("place", kind, place, bare), _hc("size", kind, size), _hc("all", kind, ends, goes, bare), _hc("gap", kind, gap, bare), _hc("both", ends, goes, place, bare, page), _hc("head", short[:1]), _hc("head2", short[:2]), _hc("head3", short[:3]), _hc("tail", short[-1:]), _hc("tail2", short[-2:]), _hc("tail3", short[-3:]), _hc("words", kind, min(9, len(words))), _hc("page", page, bool(BESIDE.search(line)))]
-    body = short if any("一" <= c <= "鿿" for c in short) else " ".join(w.lower() for w in words)
-    out += [_hc("g", body[i : i + 3]) for i in range(0, min(len(body), 60) - 2)][: MAX_LINE_FEATURES - len(out)]
-    return out + [0] * (MAX_LINE_FEATURES - len(out))
+    shape = _SHAPES[kind, page, ends, goes, bare, place, size, gap, min(9, len(words)), len(s) - len(compact) != len(words) - 1 and bool(BESIDE.search(line))]
+    out = [shape[0], 0, *shape[1:8], *_HEADS[short[:3]], *_TAILS[short[-3:]], *shape[8:]]
+    body = short if _HAN.search(short) else " ".join(words).lower()
+    out += map(_GRAMS.__getitem__, map(body.__getitem__, THREES[: max(0, min(len(body) - 2, MAX_LINE_FEATURES - len(out)))]))
+    return out + [0] * (MAX_LINE_FEATURES - len(out)), f"short\x1f{short[:24]}"
+
+
+def _between(places: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """How many of the sorted places lie in each range."""
+    return np.searchsorted(places, end) - np.searchsorted(places, start)
 
 
 class Lines:
@@ -434,12 +503,11 @@ class Lines:
         self.end = np.flatnonzero(cls == BREAK)
         self.start = np.concatenate([[0], self.end[:-1] + 1])
         self.doc = doc[self.end]
-        solid = np.where((cls != BLANK) & (cls != BREAK), np.arange(len(codes)), -1)
-        last = np.maximum.accumulate(solid)[np.maximum(self.end - 1, 0)]
-        count = lambda k: np.concatenate([[0], np.cumsum(cls == k)])
-        between = lambda c: c[self.end] - c[self.start]
-        self.digits, self.punct, ends = between(count(DIGIT)), between(count(PUNCT)), between(count(END))
-        self.blanks = between(count(BLANK))
+        solid = np.flatnonzero((cls != BLANK) & (cls != BREAK))
+        last = np.concatenate([[-1], solid])[np.searchsorted(solid, self.end)]
+        count = lambda k: _between(np.flatnonzero(cls == k), self.start, self.end)
+        self.digits, self.punct, ends = count(DIGIT), count(PUNCT), count(END)
+        self.blanks = count(BLANK)
         self.size = np.where(last >= self.start, last - self.start + 1, 0)
         self.multi = np.bincount(self.doc, minlength=int(doc[-1]) + 1)[self.doc] > 1
         short = self.size - self.blanks <= 40
@@ -452,10 +520,7 @@ def find_furniture(codes: np.ndarray, doc: np.ndarray, model: Averaged) -> tuple
     at = np.flatnonzero(lines.candidate)
     if not len(at):
         return lines, found
-    text = codes.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
-    string = lambda i: text[lines.start[i] : lines.end[i]].strip(" \t　\xa0\r")
-    rows = [features_at(lines, i, string) for i in at]
-    rows = np.array(rows)
+    rows = features_of(lines, codes, at.tolist())
     scores = np.stack([model.score(of_kind(rows, kind)) for kind in LINE_KINDS])
     best = scores.argmax(axis=0)
     for i, k, s in zip(at.tolist(), best.tolist(), scores.max(axis=0).tolist()):
@@ -464,29 +529,42 @@ def find_furniture(codes: np.ndarray, doc: np.ndarray, model: Averaged) -> tuple
     return lines, found
 
 
-def features_at(lines: Lines, i: int, string) -> list[int]:
-    """Features of line ``i``; the lines around are the nearest ones that are not blank and no page marks themselves."""
-    d, n = lines.doc[i], len(lines.doc)
-    before = after = ""
-    gap, j = False, i - 1
-    while j >= 0 and lines.doc[j] == d:
-        s = string(j)
-        if not s:
-            gap = True
-        elif not (lines.candidate[j] and _marked(s)):
-            before = s
-            break
-        j -= 1
-    top, j = not before, i + 1
-    while j < n and lines.doc[j] == d:
-        s = string(j)
-        if not s:
-            gap = True
-        elif not (lines.candidate[j] and _marked(s)):
-            after = s
-            break
-        j += 1
-    return line_features(string(i), before, after, top, not after, max(len(before), len(after)), gap)
+def features_of(lines: Lines, codes: np.ndarray, at: list[int]) -> np.ndarray:
+    """Features of the lines ``at``; the lines around are the nearest ones that are not blank and no page marks themselves."""
+    text = codes.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+    start, end, doc, candidate, n = lines.start.tolist(), lines.end.tolist(), lines.doc.tolist(), lines.candidate.tolist(), len(lines.doc)
+    strings: list[str | None] = [None] * n
+    marked: list[bool | None] = [None] * n
+
+    def string(i: int) -> str:
+        s = strings[i]
+        if s is None:
+            s = strings[i] = text[start[i] : end[i]].strip(" \t　\xa0\r")
+        return s
+
+    def nearest(i: int, way: int) -> tuple[str, bool]:
+        d, gap, j = doc[i], False, i + way
+        while 0 <= j < n and doc[j] == d:
+            s = string(j)
+            if not s:
+                gap = True
+            else:
+                if marked[j] is None:
+                    marked[j] = candidate[j] and _marked(s)
+                if not marked[j]:
+                    return s, gap
+            j += way
+        return "", gap
+
+    out, open_ = [], []
+    for i in at:
+        (before, above), (after, below) = nearest(i, -1), nearest(i, 1)
+        features, text_of = line_features(string(i), before, after, not before, not after, max(len(before), len(after)), above or below)
+        out += features
+        open_.append(text_of)
+    rows = np.array(out, np.int64).reshape(-1, MAX_LINE_FEATURES)
+    rows[:, 1] = hash_texts(open_)
+    return rows
 
 
 _MARKED = re.compile(r"第[\s　]*[一二三四五六七八九十百\d]+[\s　]*[章册页]|^(?:page|p\.|chapter)\s*\d|^[-—·–\[]\s*\d+\s*[-—·–\]]$|^\d+\s*/\s*\d+$", re.I)
@@ -500,7 +578,7 @@ def _capital(s: str) -> bool:
 
 def _marked(s: str) -> bool:
     """Whether a line shows by its form that it belongs to the page and not to the text."""
-    return bool(_MARKED.search(s)) and s[-1:] not in "。，；.,;"
+    return s[-1:] not in "。，；.,;" and bool(_MARKED.search(s))
 
 
 # ---- joining and misreadings ------------------------------------------------
@@ -518,9 +596,7 @@ def join_lines(codes: np.ndarray, doc: np.ndarray, furniture: np.ndarray, model:
     a, b = edge[::2], edge[1::2]
     if not len(a):
         return codes, doc, np.arange(len(codes)), np.zeros(0, np.int64)
-    breaks = np.concatenate([[0], np.cumsum((codes == 10) & ~furniture)])
-    removed = np.concatenate([[0], np.cumsum(furniture)])
-    n, gone = breaks[b] - breaks[a], removed[b] - removed[a]
+    n, gone = _between(np.flatnonzero((codes == 10) & ~furniture), a, b), _between(np.flatnonzero(furniture), a, b)
     some = (n > 0) | (gone > 0)
     a, b, n, gone = a[some], b[some], n[some], gone[some]
     left, right = codes[np.maximum(a - 1, 0)], codes[np.minimum(b, len(codes) - 1)]
@@ -528,28 +604,22 @@ def join_lines(codes: np.ndarray, doc: np.ndarray, furniture: np.ndarray, model:
     wide = lambda c, k: (k == CJK) | ((c >= 0x3000) & (c < 0x3040)) | ((c >= 0xFF00) & (c < 0xFFF0))
     cut = np.isin(left, CUTS) & (CLASS[codes[np.maximum(a - 2, 0)]] == LETTER) & (rc == LETTER) & (a > 1)
     if cut.any():
-        keep = np.ones(len(codes), bool)
         at = np.flatnonzero(cut)
         # the place is the mark; what follows is the next line
         rows = _cut_features(codes, a[at] - 1, b[at])
         cut[at[model.score(rows) <= 0]] = False
-    keep = ~white
-    put = np.zeros(len(codes), np.uint32)
-    plain = white & ~np.repeat(False, len(codes))
     # blanks without a break stay as they are
-    spans = np.zeros(len(codes) + 1, np.int32)
-    np.add.at(spans, a, 1)
-    np.add.at(spans, b, -1)
-    inside = np.cumsum(spans)[:-1] > 0
-    keep |= plain & ~inside
+    keep = np.ones(len(codes), bool)
+    keep[np.repeat(a - np.cumsum(b - a) + (b - a), b - a) + np.arange((b - a).sum())] = False
     stay = (n > 1) & (gone == 0)
     blank = ~stay & ~cut & ~(wide(left, lc) | wide(right, rc)) & (left != SEP) & (right != SEP) & (a > 0)
-    put[a[stay]] = 10
-    put[a[blank]] = 32
-    keep[a[stay | blank]] = True
+    out, new = codes.copy(), np.zeros(len(codes), bool)
+    out[a[stay]] = 10
+    out[a[blank]] = 32
+    new[a[stay | blank]] = keep[a[stay | blank]] = True
     keep[a[cut] - 1] = False
-    out, place = np.where(put > 0, put, codes), np.where(put > 0, -1, np.arange(len(codes)))
-    return out[keep], doc[keep], place[keep], np.unique(doc[a[cut]])
+    place = np.flatnonzero(keep)
+    return out[place], doc[place], np.where(new[place], -1, place), np.unique(doc[a[cut]])
 
 
 def _cut_features(codes: np.ndarray, mark: np.ndarray, nxt: np.ndarray) -> np.ndarray:
@@ -560,9 +630,11 @@ def find_misreadings(codes: np.ndarray, model: Averaged, noise: NoiseModel) -> t
     """(place, number of the edit): at each place the edit with the highest score, where that is above the zero of keeping."""
     at, edit = noise.places(codes)
     score = model.score(around(codes, at, noise.kinds[edit], noise.more[edit]))
+    above = score > 0
+    at, edit, score = at[above], edit[above], score[above]
     order = np.lexsort((edit, -score, at))
-    at, edit, score = at[order], edit[order], score[order]
-    best = np.concatenate([[True], at[1:] != at[:-1]]) & (score > 0) if len(at) else np.zeros(0, bool)
+    at, edit = at[order], edit[order]
+    best = np.concatenate([[True], at[1:] != at[:-1]]) if len(at) else np.zeros(0, bool)
     return at[best], edit[best]
 
 
@@ -659,18 +731,21 @@ def _wrap(text: str, width: int, chinese: bool) -> list[str]:
     return [*out, line]
 
 
+def _surely_text(lines: list[str], k: int) -> bool:
+    """Whether line ``k`` of a real text is surely none of the page."""
+    x = lines[k].strip()
+    return not (_marked(x) or PAGE_FORM.fullmatch(x) or _capital(x)) or (x.isdigit() and k > 0 and lines[k - 1].strip()[-1:] in set("：:"))
+
+
 def _line_examples(clean: list[str], pages: list[str], rng: random.Random) -> tuple[np.ndarray, np.ndarray]:
     """Lines of wrapped clean texts with made furniture between them, and lines of real texts that are surely none; each with the operations on lines, the right one labelled 1."""
-    rows, labels = [], []
-    chinese_of = lambda t: any("一" <= c <= "鿿" for c in t)
-    pieces = {True: [], False: []}
-    for t in clean:
-        zh = chinese_of(t)
-        found = re.findall("[一-鿿]{3,6}" if zh else r"[A-Za-z]{3,12}", t)
-        pieces[zh] += found[:12]
+    labels = []
+    chinese_of = lambda t: bool(_HAN.search(t))
+    pieces, chinese = {True: [], False: []}, [chinese_of(t) for t in clean]
+    for t, zh in zip(clean, chinese):
+        pieces[zh] += [m[0] for m in islice(re.finditer("[一-鿿]{3,6}" if zh else r"[A-Za-z]{3,12}", t), 12)]
     made = []
-    for t in clean:
-        zh = chinese_of(t)
+    for t, zh in zip(clean, chinese):
         if len(t) < 60 or not pieces[zh]:
             continue
         lines = [(x, False) for x in _wrap(t, rng.randint(22, 48) if zh else rng.randint(36, 70), zh)]
@@ -698,22 +773,21 @@ def _line_examples(clean: list[str], pages: list[str], rng: random.Random) -> tu
         lines[where:where] = block
         tail = " " * rng.choice((0, 0, 0, 1))
         made.append(([x + tail * (rng.random() < 0.2) for x, _ in lines], [y for _, y in lines]))
-    for text in pages:
-        ls = [x.strip() for x in text.split("\n")]
-        sure = [not (_marked(x) or PAGE_FORM.fullmatch(x) or _capital(x)) or (x.isdigit() and ls[k - 1 : k] and ls[k - 1][-1:] in set("：:")) for k, x in enumerate(ls)]
-        made.append((text.split("\n"), [False if y else None for y in sure]))
+    made += [(text.split("\n"), None) for text in pages]
     codes, doc = _arrays(["\n".join(x) for x, _ in made])
-    truth = [y for _, ys in made for y in ys]
     lines = Lines(codes, doc)
-    if len(lines.doc) != len(truth):  # a sampled text held other breaks
+    if len(lines.doc) != sum(len(x) for x, _ in made):  # a sampled text held other breaks
         raise ValueError("lines and labels differ")
-    text = codes.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
-    string = lambda i: text[lines.start[i] : lines.end[i]].strip(" \t　\xa0\r")
-    for i in np.flatnonzero(lines.candidate):
-        if truth[i] is not None:
-            rows.append(features_at(lines, i, string))
-            labels.append([1 if truth[i] == kind else -1 for kind in LINE_KINDS])
-    rows, labels = np.array(rows, np.int64).reshape(-1, MAX_LINE_FEATURES), np.array(labels, np.int64).reshape(-1, len(LINE_KINDS))
+    first = np.concatenate([[0], np.cumsum([len(x) for x, _ in made])]).tolist()
+    at = []
+    candidates = np.flatnonzero(lines.candidate)
+    for i, d in zip(candidates.tolist(), lines.doc[candidates].tolist()):
+        own, truth = made[d]
+        y = truth[i - first[d]] if truth else False
+        if truth or _surely_text(own, i - first[d]):
+            at.append(i)
+            labels.append([1 if y == kind else -1 for kind in LINE_KINDS])
+    rows, labels = features_of(lines, codes, at), np.array(labels, np.int64).reshape(-1, len(LINE_KINDS))
     return np.concatenate([of_kind(rows, kind) for kind in LINE_KINDS]), labels.T.ravel()
 
 
@@ -733,19 +807,20 @@ def _char_examples(clean: list[str], pages: list[str], rng: random.Random, noise
     folded = FOLD(raw)
     # the place of each character among those that are kept
     to = np.cumsum(folded != 0) - 1
-    codes, start, kind = folded[folded != 0], 0, {e.kind: k for k, e in enumerate(noise.edits)}
-    bad = set()
+    codes, start, number = folded[folded != 0], 0, {e: k for k, e in enumerate(noise.edits)}
+    bad = []
     for x, edits in zip(texts, wrong):
-        bad.update(int(to[start + at]) * len(kind) + kind[e.kind] for at, e in edits)
+        bad += [(start + at, number[e]) for at, e in edits]
         start += len(x) + 1
+    bad = np.array(bad, np.int64).reshape(-1, 2)
     at, edit = noise.places(codes)
-    right = np.isin(at * len(kind) + edit, np.fromiter(bad, np.int64, len(bad)))
+    right = np.isin(at * len(number) + edit, to[bad[:, 0]] * len(number) + bad[:, 1])
     if isinstance(usual, np.ndarray):
         to = np.array([ord(e.right) if (e.bad, e.right) in noise.sure else 0 for e in noise.edits])[edit]
-        sure = right | (to == 0) | ~_marked_context(_contexts(codes)[0][at], to, usual)
+        sure = right | (to == 0) | ~_marked_context(_contexts(codes, at), to, usual)
         at, edit, right = at[sure], edit[sure], right[sure]
     elif len(usual[0]):
-        h = _contexts(codes)[0][at]
+        h = _contexts(codes, at)
         slot = np.minimum(np.searchsorted(usual[0], h), len(usual[0]) - 1)
         restores = np.array([ord(e.right) if (e.bad, e.right) in noise.sure else 0 for e in noise.edits])[edit] == usual[1][slot]
         sure = right | ~(restores & (usual[0][slot] == h))
@@ -855,10 +930,10 @@ def train_on_all(records: DataFrame, seed: int = 11) -> Editor:
     return Editor(Averaged(weights[: 1 << BITS]), Averaged(weights[1 << BITS :]), noise)
 
 
-def _blocks(texts: pd.Series) -> Iterator[tuple[int, int]]:
+def _blocks(texts: pd.Series, most: int = BLOCK) -> Iterator[tuple[int, int]]:
     start = size = 0
     for i, n in enumerate(texts.str.len().tolist()):
-        if size and size + n > BLOCK:
+        if size and size + n > most:
             yield start, i
             start, size = i, 0
         size += n

@@ -1,5 +1,8 @@
 import random
+import time
+from collections import Counter
 
+import numpy as np
 import pytest
 
 from quireflow.llm import scans as S
@@ -120,3 +123,55 @@ def test_pieces_hold_all_of_a_text():
     for text in ("a" * 50_000, "\n".join("x" * rng.randint(0, 900) for _ in range(200)), "y" * 30_000 + "\n" + "z" * 30_000):
         pieces = S._pieces(text)
         assert max(map(len, pieces)) <= S.PIECE + 1 and "".join(pieces).replace("\n", "") == text.replace("\n", "")
+
+
+def plain_fit(rows, labels, epochs=8, batch=32, seed=7):
+    """The perceptron with every batch scored by itself."""
+    w, total, step, order = np.zeros(1 << S.BITS), np.zeros(1 << S.BITS), 1, np.random.default_rng(seed)
+    for _ in range(epochs):
+        mixed = order.permutation(len(rows))
+        for i in range(0, len(mixed), batch):
+            at = mixed[i : i + batch]
+            off = at[labels[at] * w[rows[at]].sum(axis=1) <= 1]
+            if len(off):
+                flat, change = rows[off].ravel(), np.repeat(labels[off], rows.shape[1])
+                np.add.at(w, flat, change)
+                np.add.at(total, flat, step * change)
+            step += 1
+    return (w - total / step).astype(np.float32)
+
+
+def test_training_costs_little_where_nothing_is_wrong():
+    """The same weights as of single batches, in a good part of their time: batches that change nothing are scored together."""
+    rng = np.random.default_rng(5)
+    rows = rng.integers(0, 1 << S.BITS, (40_000, 16))[rng.integers(0, 40_000, 60_001)]
+    rows[:, 0] = rng.integers(0, 2, len(rows))
+    hard = (rows[:500], np.where(rng.random(500) < 0.3, 1, -1))
+    easy, mixed = rows[:, 0] * 2 - 1, np.where(rng.random(len(rows)) < 0.02, 1, rows[:, 0] * 2 - 1)
+    assert np.array_equal(S.Averaged().fit(rows, mixed).w, plain_fit(rows, mixed))
+    seconds = []
+    for _ in range(3):
+        began = time.thread_time()
+        expect = plain_fit(rows, easy)
+        between = time.thread_time()
+        got = S.Averaged().fit(rows, easy).w
+        seconds.append((between - began, time.thread_time() - between))
+        assert np.array_equal(got, expect)
+    assert np.array_equal(S.Averaged().fit(*hard).w, plain_fit(*hard))
+    assert not S.Averaged().fit(rows[:0], hard[1][:0]).w.any()
+    plain, together = map(min, zip(*seconds))
+    assert together < 0.6 * plain
+
+
+def test_counts_and_hashes_of_many_are_those_of_each():
+    words = ["", "a", "short\x1f\x00é", "中文" * 12, "\ud800x\x00", "x" * 90]
+    assert S.hash_texts(words).tolist() == [S.hash_text(x) for x in words] and not len(S.hash_texts([]))
+    sample = [*texts(40, 31), "", "a", "b1c", "角" * 9, "x\ny"]
+    codes, _ = S._arrays([t for t in sample if t])
+    h, kinds = S._contexts(codes), S.CLASS[codes]
+    letter = lambda i: kinds[i] in (S.CJK, S.LETTER) and i > 0 and S.BREAK not in (kinds[i - 1], kinds[i + 1])
+    expect = Counter((int(h[i].view(np.int64)), int(codes[i])) for i in range(len(codes) - 1) if letter(i))
+    got = S._context_counts(sample)
+    assert {(a, c): n for a, c, n in got.itertuples(index=False)} == expect and not len(S._context_counts(["", "1"]))
+    at = np.array([0, 7, 7, len(codes) - 1])
+    assert np.array_equal(S._contexts(codes, at), h[at])
